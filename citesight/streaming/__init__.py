@@ -1,0 +1,8 @@
+"""Streaming.
+
+The analysis this library re-expresses is a batch workflow: it has no
+watermark, window, stateful or late-data logic, so no streaming operator is
+provided.  Every operator is a plain DataFrame function, so it can be applied
+inside ``foreachBatch`` of a Structured Streaming query if a caller wants to
+refresh the mart incrementally.
+"""
