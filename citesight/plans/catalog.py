@@ -445,3 +445,47 @@ def q_impute_scale(spark, sf):
     feats = P["ltc_features"]
     s = profile.standard_scale(profile.impute_median(t.select("FACID", *feats), feats), feats)
     return s.select("FACID", *[r6(c).alias(c) for c in feats])
+
+
+# ------------------------------------------------------------------- text
+
+
+def _narr(spark, sf):
+    return pl.clean_narratives(standin.raw_narratives(spark, sf))
+
+
+@query("clean_text")
+def q_clean_text(spark, sf):
+    return _narr(spark, sf).select("FACID", "NARRATIVE_CLEAN")
+
+
+@query("title_case")
+def q_title_case(spark, sf):
+    return _narr(spark, sf).select("FACID", "FACILITY_NAME")
+
+
+@query("term_counts")
+def q_term_counts(spark, sf):
+    from ..operators import keywords as kw
+    return kw.term_counts(_narr(spark, sf), "FACID", "NARRATIVE_CLEAN")
+
+
+@query("vocabulary")
+def q_vocabulary(spark, sf):
+    from ..operators import keywords as kw
+    tf = kw.term_counts(_narr(spark, sf), "FACID", "NARRATIVE_CLEAN")
+    return kw.vocabulary(tf, "FACID")
+
+
+@query("tfidf")
+def q_tfidf(spark, sf):
+    from ..operators import keywords as kw
+    w = kw.tfidf(_narr(spark, sf), "FACID", "NARRATIVE_CLEAN")
+    return w.withColumn("weight", r6("weight"))
+
+
+@query("top_keywords")
+def q_top_keywords(spark, sf):
+    from ..operators import keywords as kw
+    n = _narr(spark, sf)
+    return kw.top_keywords(n, kw.tfidf(n, "FACID", "NARRATIVE_CLEAN"), "FACID")

@@ -385,3 +385,74 @@ imp AS (SELECT FACID, """ + ", ".join(
 st AS (SELECT """ + ", ".join(f"avg({c}) AS m_{c}, stddev_pop({c}) AS s_{c}" for c in _feats) + """ FROM imp)
 SELECT FACID, """ + ", ".join(
     f"round(({c} - m_{c}) / CASE WHEN s_{c} > 0 THEN s_{c} ELSE 1.0 END, 6) AS {c}" for c in _feats) + " FROM imp, st"
+
+
+# ------------------------------------------------------------------- text
+
+_W = r"[\p{L}\p{N}_]"
+_NW = r"[^\p{L}\p{N}_]"
+
+
+def _clean_sql(e: str) -> str:
+    x = f"coalesce({e}, '')"
+    for pat in [r"F\p{Nd}{3,4}", r"T\p{Nd}{2}", r"DIV\p{Nd}+", r"CH\p{Nd}+", r"ART\p{Nd}+", r"\([^)]*\)"]:
+        x = f"regexp_replace({x}, '{pat}', '', 'g')"
+    for _ in range(2):  # stand-alone digit runs; two passes cover runs that share a separator
+        x = f"regexp_replace({x}, '(^|{_NW})\\p{{Nd}}+({_NW}|$)', '\\1\\2', 'g')"
+    x = f"regexp_replace({x}, '[^\\p{{L}}\\p{{N}}_\\t\\n\\x0B\\f\\r\\x{{85}}\\p{{Z}}]', ' ', 'g')"
+    x = f"regexp_replace({x}, '\\n+', ' ', 'g')"
+    x = f"regexp_replace({x}, '{ob.WS}+', ' ', 'g')"
+    return f"lower({ob.utrim(x)})"
+
+
+_NARR = f"""
+raw_narr AS (
+  SELECT CAST(doc_id AS VARCHAR) AS FACID,
+    lower(source) || '''s ' || lang || ' 3rd st.' AS FACILITY_NAME,
+    'F' || CAST(1000 + doc_id % 9000 AS VARCHAR) || ' ART' || CAST(n_chars % 100 AS VARCHAR) || ' (ref ' || source
+      || ') ' || 'DIV' || CAST(doc_id % 7 AS VARCHAR) || ' T' || lpad(CAST(doc_id % 100 AS VARCHAR), 2, '0') || ' '
+      || text || ' CH' || CAST(doc_id % 50 AS VARCHAR) AS NARRATIVE
+  FROM documents
+),
+narr AS (
+  SELECT FACID,
+    array_to_string(list_transform(regexp_extract_all(lower(FACILITY_NAME), '(\\p{{L}}+|\\P{{L}}+)'),
+                                   lambda r: upper(r[1]) || r[2:]), '') AS FACILITY_NAME,
+    {_clean_sql('NARRATIVE')} AS NARRATIVE_CLEAN
+  FROM raw_narr
+)"""
+
+
+def _stop_list() -> str:
+    from ..operators.keywords import default_stop_words
+    return "[" + ", ".join(ob.q(w) for w in default_stop_words()) + "]"
+
+
+_TERMS = f"""
+tok AS (SELECT FACID, regexp_extract_all(lower(NARRATIVE_CLEAN), '[a-zA-Z]{{3,}}') AS t FROM narr),
+uni AS (SELECT FACID, list_filter(t, lambda x: NOT list_contains({_stop_list()}, x)) AS u FROM tok),
+terms AS (SELECT FACID, list_concat(u, list_transform(range(1, len(u)), lambda i: u[i] || ' ' || u[i + 1])) AS terms
+          FROM uni),
+tf AS (SELECT FACID, term, count(*) AS tf FROM (SELECT FACID, unnest(terms) AS term FROM terms) GROUP BY 1, 2),
+vocab AS (SELECT term, sum(tf) AS total, count(FACID) AS df FROM tf GROUP BY 1 ORDER BY total DESC, term LIMIT 100),
+wt AS (
+  SELECT tf.FACID, tf.term, tf.tf,
+    tf.tf * (ln((1.0 + (SELECT count(*) FROM narr)) / (1.0 + v.df)) + 1.0) AS w
+  FROM tf JOIN vocab v ON tf.term = v.term
+),
+weights AS (SELECT FACID, term, tf, w / sqrt(sum(w * w) OVER (PARTITION BY FACID)) AS weight FROM wt)"""
+
+_TEXT = ob.with_ctes(_NARR)
+_TEXT_TERMS = ob.with_ctes(_NARR, _TERMS)
+
+ORACLE["clean_text"] = _TEXT + "\nSELECT FACID, NARRATIVE_CLEAN FROM narr"
+ORACLE["title_case"] = _TEXT + "\nSELECT FACID, FACILITY_NAME FROM narr"
+ORACLE["term_counts"] = _TEXT_TERMS + "\nSELECT FACID, term, tf FROM tf"
+ORACLE["vocabulary"] = _TEXT_TERMS + "\nSELECT term, CAST(total AS BIGINT) AS total, df FROM vocab"
+ORACLE["tfidf"] = _TEXT_TERMS + "\nSELECT FACID, term, tf, round(weight, 6) AS weight FROM weights"
+ORACLE["top_keywords"] = _TEXT_TERMS + """
+SELECT n.FACID, coalesce(k.TOP_KEYWORDS, '') AS TOP_KEYWORDS
+FROM narr n LEFT JOIN (
+  SELECT FACID, string_agg(term, ', ' ORDER BY rn) AS TOP_KEYWORDS FROM (
+    SELECT FACID, term, row_number() OVER (PARTITION BY FACID ORDER BY weight DESC, term DESC) AS rn
+    FROM weights WHERE weight > 0) WHERE rn <= 3 GROUP BY FACID) k ON n.FACID = k.FACID"""
