@@ -489,3 +489,31 @@ def q_top_keywords(spark, sf):
     from ..operators import keywords as kw
     n = _narr(spark, sf)
     return kw.top_keywords(n, kw.tfidf(n, "FACID", "NARRATIVE_CLEAN"), "FACID")
+
+
+# -------------------------------------------------------- forest (rows-only)
+
+
+def _scored(spark, sf):
+    return pl.score_facilities(_mart(spark, sf), P)
+
+
+@query("iforest_score")
+def q_iforest_score(spark, sf):
+    parts = [s.select(F.lit(name).alias("stratum"), "FACID", r6("anomaly_score").alias("anomaly_score"),
+                      big("is_anomaly").alias("is_anomaly"))
+             for name, (s, _, _) in _scored(spark, sf).items()]
+    return parts[0].unionByName(parts[1])
+
+
+@query("attribution")
+def q_attribution(spark, sf):
+    return pl.attribution(_scored(spark, sf)).withColumn("mean_abs", r6("mean_abs"))
+
+
+@query("inspection_list")
+def q_inspection_list(spark, sf):
+    m = _mart(spark, sf)
+    return pl.inspection_list(m, pl.score_facilities(m, P)).withColumns(
+        {"anomaly_score": r6("anomaly_score"), "deaths_rate": r6("deaths_rate"),
+         "balance_per_penalty": r6("balance_per_penalty"), "rank": big("rank")})

@@ -109,3 +109,105 @@ def facility_table(flagged: DataFrame, preset: Mapping, hospital: bool, k: float
     rated = add_rates(prof, counts)
     out = eb_smooth(rated, [rate_name(c) for c in counts], k=k)
     return materialize(out) if checkpoint else out
+
+
+# --------------------------------------------------------------- scoring
+
+Z = "_z_"
+
+
+def prepare_features(fac: DataFrame, features) -> DataFrame:
+    """Median-imputed, standardised copies of ``features`` (prefixed ``_z_``)
+    next to the original columns."""
+    from ..operators.profile import impute_median, standard_scale
+    z = fac.withColumns({Z + c: F.col(c).cast("double") for c in features})
+    zc = [Z + c for c in features]
+    return standard_scale(impute_median(z, zc), zc)
+
+
+def score_stratum(fac: DataFrame, features, contamination: float, n_trees: int = presets.N_TREES,
+                  seed: int = presets.RANDOM_STATE, key: str = "FACID"):
+    """Fit the forest on one stratum and score it.  Returns
+    ``(scored, model, prepared)``; ``scored`` is checkpointed because both the
+    quota and the selection read it."""
+    from ..operators.forest import IsolationForest
+    prepared = materialize(prepare_features(fac, features))
+    zc = [Z + c for c in features]
+    model = IsolationForest(n_trees=n_trees, max_samples=256, seed=seed).fit(prepared, zc, key)
+    scored = materialize(model.score(prepared, contamination))
+    return scored, model, prepared
+
+
+def score_facilities(mart: DataFrame, preset: Mapping = presets.HEALTH, n_trees: int = presets.N_TREES,
+                     seed: int = presets.RANDOM_STATE):
+    """Both strata scored: ``{stratum: (scored, model, prepared)}``."""
+    flagged = penalty_features(mart, preset)
+    out = {}
+    for hospital, name, feats, contam in [
+            (True, presets.STRATUM_HOSPITAL, preset["hosp_features"], presets.HOSP_CONTAMINATION),
+            (False, presets.STRATUM_LTC, preset["ltc_features"], presets.LTC_CONTAMINATION)]:
+        fac = facility_table(flagged, preset, hospital, checkpoint=True)
+        out[name] = score_stratum(fac, feats, contam, n_trees, seed)
+    return out
+
+
+def inspection_list(mart: DataFrame, scored: Mapping, slots: int = presets.INSPECTION_SLOTS) -> DataFrame:
+    """The inspection list: slots split over strata by flagged counts, the
+    lowest anomaly scores of each stratum, ranked, with facility name and
+    district attached."""
+    from ..operators.joins import first_per_key
+    from ..operators.selection import allocate_quota, top_k_strata, union_strata
+    from ..operators.windows import with_rank
+    hs = scored[presets.STRATUM_HOSPITAL][0]
+    ls = scored[presets.STRATUM_LTC][0]
+    hit = F.col("is_anomaly") == -1
+    quotas = allocate_quota(hs, ls, hit, [presets.STRATUM_HOSPITAL, presets.STRATUM_LTC], slots)
+    cols = ["FACID", "anomaly_score", "total_penalties", "deaths_rate", "balance_per_penalty"]
+    both = union_strata(hs.select(*cols).withColumn("stratum", F.lit(presets.STRATUM_HOSPITAL)),
+                        ls.select(*cols).withColumn("stratum", F.lit(presets.STRATUM_LTC)))
+    top = top_k_strata(both, "anomaly_score", quotas, "FACID", max_k=slots)
+    ranked = with_rank(top, [F.col("anomaly_score"), F.col("FACID")])
+    # at most `slots` keys: broadcast them to cut the mart down before de-duplicating
+    wanted = mart.join(F.broadcast(ranked.select("FACID")), "FACID", "left_semi")
+    info = first_per_key(wanted, "FACID", ["PENALTY_NUMBER"], ["FACILITY_NAME", "DISTRICT_OFFICE"])
+    return (ranked.join(info, "FACID", "left")
+            .select("rank", "stratum", "FACID", "FACILITY_NAME", "DISTRICT_OFFICE", "anomaly_score",
+                    "total_penalties", "deaths_rate", "balance_per_penalty"))
+
+
+def attribution(scored: Mapping) -> DataFrame:
+    """Global feature importance per stratum (mean |Shapley value|)."""
+    from ..operators.attribution import feature_importance
+    parts = []
+    for name, (_, model, prepared) in scored.items():
+        imp = feature_importance(model, prepared)
+        parts.append(imp.select(F.lit(name).alias("stratum"),
+                                F.regexp_replace("feature", "^" + Z, "").alias("feature"), "mean_abs"))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+def run_pipeline(spark: SparkSession, enforcement: DataFrame, lookup: DataFrame, narratives: DataFrame | None,
+                 out_dir: str, preset: Mapping = presets.HEALTH) -> dict[str, DataFrame]:
+    """Whole run in one application: clean, build and store the mart, score,
+    select, explain.  Tables are written as Parquet under ``out_dir``."""
+    from ..operators.keywords import tfidf, top_keywords
+    from ..sources.tables import write_table
+    enf = clean_enforcement(enforcement, preset)
+    lk = clean_lookup(lookup)
+    write_table(build_mart(enf, lk), f"{out_dir}/enriched_mart")
+    mart = spark.read.parquet(f"{out_dir}/enriched_mart")
+    out = {"enriched_mart": mart}
+    if narratives is not None:
+        nc = clean_narratives(narratives)
+        kw = top_keywords(nc, tfidf(nc, "PENALTY_NUMBER", "NARRATIVE_CLEAN"), "PENALTY_NUMBER")
+        write_table(nc.drop("NARRATIVE").join(kw, "PENALTY_NUMBER", "left"), f"{out_dir}/narratives")
+    scored = score_facilities(mart, preset)
+    sel = inspection_list(mart, scored)
+    write_table(sel, f"{out_dir}/inspection_list")
+    write_table(attribution(scored), f"{out_dir}/attribution")
+    out["inspection_list"] = spark.read.parquet(f"{out_dir}/inspection_list")
+    out["attribution"] = spark.read.parquet(f"{out_dir}/attribution")
+    return out

@@ -68,3 +68,21 @@ def materialize(df):
     """
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+_SHIPPED: set[int] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make this package importable in Python workers (for the few Arrow
+    functions that run library code inside tasks).  The package is zipped
+    once per application and distributed with ``addPyFile``."""
+    sc = spark.sparkContext
+    if id(sc) in _SHIPPED:
+        return
+    import shutil
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    out = tempfile.mkdtemp(prefix="citesight-pkg-")
+    archive = shutil.make_archive(os.path.join(out, "citesight"), "zip", os.path.dirname(pkg), "citesight")
+    sc.addPyFile(archive)
+    _SHIPPED.add(id(sc))
