@@ -203,8 +203,9 @@ class IsolationForestModel:
               flag: str = "is_anomaly") -> DataFrame:
         """Decision score (raw score minus the contamination quantile of the
         raw scores) and the -1/1 flag."""
+        from ..session import materialize
         from .quantiles import exact_quantile
-        raw = self.raw_scores(df, "_raw")
+        raw = materialize(self.raw_scores(df, "_raw"))
         thr = exact_quantile(raw, "_raw", contamination)
         return (raw.withColumn(name, F.col("_raw") - F.lit(thr))
                 .withColumn(flag, F.when(F.col(name) < 0, F.lit(-1)).otherwise(F.lit(1)))

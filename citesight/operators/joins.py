@@ -55,18 +55,25 @@ def attach_first(df: DataFrame, info: DataFrame, key: str, order: Sequence[str],
     return df.join(first_per_key(info, key, order, cols), key, "left")
 
 
-def enrich_mart(fact: DataFrame, dim_fac: DataFrame, dim_class: DataFrame) -> DataFrame:
+def enrich_mart(fact: DataFrame, dim_fac: DataFrame, dim_class: DataFrame,
+                dims_small: bool | None = None) -> DataFrame:
     """The enriched mart: fact LEFT JOIN facility-type dim LEFT JOIN class dim.
 
-    Both dims are tiny lookup tables (broadcast behind a size check).  Columns
-    keep the original aliases, including ``CLASS_FINAL`` = the class dim's
-    DESCRIPTION and ``DESCRIPTION`` = its VALUE.
+    Both dims are tiny lookup tables, broadcast behind a size check (pass
+    ``dims_small`` when the caller has already checked the lookup they come
+    from).  Columns keep the original aliases, including ``CLASS_FINAL`` = the
+    class dim's DESCRIPTION and ``DESCRIPTION`` = its VALUE.
     """
-    f = broadcast_if_small(dim_fac.select(
+    def hint(d):
+        if dims_small is None:
+            return broadcast_if_small(d)
+        return F.broadcast(d) if dims_small else d
+
+    f = hint(dim_fac.select(
         F.col("VALUE").alias("_f_value"), F.col("DEFINITION").alias("_f_def"),
         F.col("IS_HOSPITAL").alias("_f_hosp"), F.col("IS_24HR").alias("_f_24"),
         F.col("IS_LOW_RESOURCE").alias("_f_low")))
-    b = broadcast_if_small(dim_class.select(
+    b = hint(dim_class.select(
         F.col("VALUE").alias("_b_value"), F.col("DESCRIPTION").alias("_b_desc")))
     a = fact
     j = (a.join(f, a["FAC_TYPE_CODE"] == f["_f_value"], "left")

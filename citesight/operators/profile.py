@@ -60,30 +60,38 @@ def eb_smooth(df: DataFrame, rates: Sequence[str], n: str = "total_penalties", k
 
     ``r_eb = w * r + (1 - w) * mean``, ``w = n / (n + k)``, where ``mean`` is the
     unweighted mean of ``r`` over rows with ``n > 0``.  All means come from one
-    aggregate, attached as scalar subqueries.
+    aggregate whose single row is attached as literals (fit, then transform).
     """
     present = [r for r in rates if r in df.columns]
-    stats = df.where(F.col(n) > 0).agg(*[F.avg(r).alias(r) for r in present])
+    means = df.where(F.col(n) > 0).agg(*[F.avg(r).alias(r) for r in present]).first()
     w = F.col(n).cast("double") / (F.col(n).cast("double") + F.lit(float(k)))
     return df.withColumns({
-        f"{r}_eb": w * F.col(r) + (F.lit(1.0) - w) * stats.select(r).scalar() for r in present})
+        f"{r}_eb": w * F.col(r) + (F.lit(1.0) - w) * F.lit(means[r]).cast("double") for r in present})
 
 
 def impute_median(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Replace NULLs by the column's exact median; an all-NULL column
-    becomes 0."""
-    med = df.agg(*[F.median(c).alias(c) for c in cols])
-    return df.withColumns({c: F.coalesce(F.col(c).cast("double"), med.select(c).scalar(), F.lit(0.0))
-                           for c in cols})
+    becomes 0.  One pass finds the columns that hold NULLs; only those get a
+    (distributed, exact) median."""
+    from .quantiles import exact_quantile
+    nulls = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in cols]).first()
+    fill = {}
+    for c in cols:
+        if nulls[c]:
+            m = exact_quantile(df, c, 0.5)
+            fill[c] = 0.0 if m is None else m
+    return df.withColumns({c: F.coalesce(F.col(c).cast("double"), F.lit(v)) for c, v in fill.items()})
 
 
 def standard_scale(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """(x - mean) / population std; a constant column is divided by 1."""
-    stats = df.agg(*[F.avg(c).alias(f"m_{c}") for c in cols],
-                   *[F.stddev_pop(c).alias(f"s_{c}") for c in cols])
+    """(x - mean) / population std; a constant column is divided by 1.
+    The statistics are one aggregate row (fit), applied as literals."""
+    st = df.agg(*[F.avg(c).alias(f"m_{c}") for c in cols],
+                *[F.stddev_pop(c).alias(f"s_{c}") for c in cols]).first()
     out = {}
     for c in cols:
-        m = stats.select(f"m_{c}").scalar()
-        s = stats.select(f"s_{c}").scalar()
-        out[c] = (F.col(c) - m) / F.when(s > 0, s).otherwise(F.lit(1.0))
+        m = st[f"m_{c}"]
+        s = st[f"s_{c}"]
+        scale = s if (s is not None and s > 0) else 1.0
+        out[c] = (F.col(c).cast("double") - F.lit(m if m is not None else 0.0)) / F.lit(float(scale))
     return df.withColumns(out)

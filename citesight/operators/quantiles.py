@@ -47,8 +47,29 @@ def exact_quantile(df: DataFrame, col: str, q: float) -> float | None:
             lo = None
         if k1 >= below + inside:
             hi = None
-    if inside > MAX_BRACKET and (lo is None or hi is None):
-        raise RuntimeError("quantile bracket too wide")
+    # Many equal values can make the bracket large: halve it by value (one
+    # count per step) until it is small or holds a single value.
+    for _ in range(200):
+        if inside <= MAX_BRACKET:
+            break
+        if lo is None or hi is None:
+            ext = x.agg(F.min("x").alias("a"), F.max("x").alias("b")).first()
+            lo = ext["a"] if lo is None else lo
+            hi = ext["b"] if hi is None else hi
+            below = x.where(F.col("x") < F.lit(lo)).count()
+        if lo == hi:
+            return float(lo)
+        mid = lo + (hi - lo) / 2.0
+        if mid <= lo or mid >= hi:
+            break
+        n_low = x.where((F.col("x") >= F.lit(lo)) & (F.col("x") < F.lit(mid))).count()
+        if k0 < below + n_low and k1 < below + n_low:
+            hi, inside = mid, n_low  # both ranks below mid (values < mid)
+            hi = x.where((F.col("x") >= F.lit(lo)) & (F.col("x") < F.lit(mid))).agg(F.max("x")).first()[0]
+        elif k0 >= below + n_low:
+            below, inside, lo = below + n_low, inside - n_low, mid
+        else:
+            break  # the two ranks straddle mid; the bracket is as small as it gets here
     lo_c = F.lit(lo) if lo is not None else F.lit(float("-inf"))
     hi_c = F.lit(hi) if hi is not None else F.lit(float("inf"))
     vals = sorted(v["x"] for v in x.where((F.col("x") >= lo_c) & (F.col("x") <= hi_c)).collect())

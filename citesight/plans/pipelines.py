@@ -77,8 +77,11 @@ def dims(lookup_clean: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def build_mart(enf_clean: DataFrame, lookup_clean: DataFrame) -> DataFrame:
     """The 26-column enriched mart."""
+    from ..operators.joins import DEFAULT_BROADCAST_ROWS
     dim_fac, dim_class = dims(lookup_clean)
-    return enrich_mart(enf_clean, dim_fac, dim_class)
+    # one bounded count of the lookup proves both dims small
+    small = lookup_clean.limit(DEFAULT_BROADCAST_ROWS + 1).count() <= DEFAULT_BROADCAST_ROWS
+    return enrich_mart(enf_clean, dim_fac, dim_class, dims_small=small)
 
 
 def standin_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -107,8 +110,9 @@ def facility_table(flagged: DataFrame, preset: Mapping, hospital: bool, k: float
     prof = facility_profile(stratum, prof_preset)
     counts = profile_columns(prof_preset)
     rated = add_rates(prof, counts)
-    out = eb_smooth(rated, [rate_name(c) for c in counts], k=k)
-    return materialize(out) if checkpoint else out
+    if checkpoint:
+        rated = materialize(rated)
+    return eb_smooth(rated, [rate_name(c) for c in counts], k=k)
 
 
 # --------------------------------------------------------------- scoring
@@ -128,13 +132,14 @@ def prepare_features(fac: DataFrame, features) -> DataFrame:
 def score_stratum(fac: DataFrame, features, contamination: float, n_trees: int = presets.N_TREES,
                   seed: int = presets.RANDOM_STATE, key: str = "FACID"):
     """Fit the forest on one stratum and score it.  Returns
-    ``(scored, model, prepared)``; ``scored`` is checkpointed because both the
-    quota and the selection read it."""
+    ``(scored, model, prepared)``.  The prepared features are checkpointed
+    (fit and score both read them); the scores are checkpointed inside
+    ``score`` before the threshold is found."""
     from ..operators.forest import IsolationForest
     prepared = materialize(prepare_features(fac, features))
     zc = [Z + c for c in features]
     model = IsolationForest(n_trees=n_trees, max_samples=256, seed=seed).fit(prepared, zc, key)
-    scored = materialize(model.score(prepared, contamination))
+    scored = model.score(prepared, contamination)
     return scored, model, prepared
 
 

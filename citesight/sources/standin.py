@@ -43,6 +43,13 @@ NBSP = " "
 BAD_DATE = "31/31/2020"
 
 
+def literal_rows(spark: SparkSession, rows, names) -> DataFrame:
+    """A small all-string table from literal rows, built JVM-side (no Python
+    data transfer); Spark knows its exact size."""
+    structs = [F.struct(*[F.lit(v).cast("string").alias(n) for v, n in zip(r, names)]) for r in rows]
+    return spark.range(1).select(F.inline(F.array(*structs)))
+
+
 def _ln(k: int) -> Column:
     return F.col("l_linenumber") == k
 
@@ -62,9 +69,11 @@ def penalty_base(spark: SparkSession, sf_dir: str) -> DataFrame:
              "c_mktsegment")
     n = tpch(spark, sf_dir, "nation", "n_nationkey", "n_name")
     p = tpch(spark, sf_dir, "part", "p_partkey", "p_name", "p_type")
-    return (li.join(o, F.col("l_orderkey") == F.col("o_orderkey"))
-            .join(c, F.col("o_custkey") == F.col("c_custkey"))
-            .join(F.broadcast(n), F.col("c_nationkey") == F.col("n_nationkey"))
+    # orders x customer first (order grain), so the line-item-sized rows are
+    # shuffled only twice (on order key, then on part key)
+    oc = (o.join(c, F.col("o_custkey") == F.col("c_custkey"))
+          .join(F.broadcast(n), F.col("c_nationkey") == F.col("n_nationkey")))
+    return (li.join(oc, F.col("l_orderkey") == F.col("o_orderkey"))
             .join(p, F.col("l_partkey") == F.col("p_partkey")))
 
 
@@ -116,21 +125,19 @@ def raw_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw lookup table: one facility-type row per market segment found in
     ``customer`` (segments without a definition get no row), the class rows,
     and the repeated header rows a spreadsheet export carries."""
-    defs = spark.createDataFrame(list(presets.STANDIN_SEGMENT_DEFINITIONS.items()),
-                                 "seg string, DEFINITION string")
+    defs = literal_rows(spark, list(presets.STANDIN_SEGMENT_DEFINITIONS.items()), ["seg", "DEFINITION"])
     segs = tpch(spark, sf_dir, "customer", "c_mktsegment").distinct()
     fac = (segs.join(F.broadcast(defs), F.col("c_mktsegment") == F.col("seg"))
            .select(F.lit("FAC_TYPE_CODE").alias("VARIABLE"),
                    F.concat(F.lit(" "), F.col("seg"), F.lit(TAB)).alias("VALUE"),
                    F.initcap("seg").alias("DESCRIPTION"), "DEFINITION"))
-    cls = spark.createDataFrame(
-        [("Class_Assessed_Final", f"C_{d}", d, None) for d in presets.STANDIN_CLASS_DESCRIPTIONS],
-        "VARIABLE string, VALUE string, DESCRIPTION string, DEFINITION string")
-    headers = spark.createDataFrame(
-        [("VARIABLE", "VALUE", "DESCRIPTION", "DEFINITION"),
-         ("VARIABLE  ", "VALUE", "DESCRIPTION", "DEFINITION"),
-         (None, "NULLVAR", "no variable", "kept: a NULL variable is not a header")],
-        "VARIABLE string, VALUE string, DESCRIPTION string, DEFINITION string")
+    names = ["VARIABLE", "VALUE", "DESCRIPTION", "DEFINITION"]
+    cls = literal_rows(spark, [("Class_Assessed_Final", f"C_{d}", d, None)
+                               for d in presets.STANDIN_CLASS_DESCRIPTIONS], names)
+    headers = literal_rows(spark, [("VARIABLE", "VALUE", "DESCRIPTION", "DEFINITION"),
+                                   ("VARIABLE  ", "VALUE", "DESCRIPTION", "DEFINITION"),
+                                   (None, "NULLVAR", "no variable", "kept: a NULL variable is not a header")],
+                           names)
     return fac.unionByName(cls).unionByName(headers)
 
 
