@@ -16,9 +16,15 @@ FAST_KEYS = ["enriched_mart", "profile_hosp", "eb_smooth", "value_share", "cross
 
 def _norm(v):
     if v is None:
-        return None
+        return "NULL"
     if isinstance(v, float):
-        return None if math.isnan(v) else round(v, 6)
+        return "NULL" if math.isnan(v) else repr(round(v, 6) + 0.0)
+    try:
+        import pandas as pd
+        if pd.isna(v):
+            return "NULL"
+    except (TypeError, ValueError):
+        pass
     return str(v)
 
 
