@@ -20,9 +20,21 @@ def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+# Every character Python's ``str.isspace`` accepts (tab, NBSP, the Unicode
+# space separators, ...), derived from the rule rather than listed.
+WHITESPACE = "".join(ch for ch in map(chr, range(0x3001)) if ch.isspace())
+
+
+# The same set as a regex character-class body (\uXXXX escapes).
+WS_CLASS = "".join(f"\\u{ord(ch):04x}" for ch in WHITESPACE)
+
+
 def utrim(c) -> Column:
-    """Strip every Unicode whitespace character (tab, NBSP, ...) at both ends."""
-    return F.regexp_replace(_c(c), r"(?U)\A\s+|\s+\z", "")
+    """Strip every Unicode whitespace character (tab, NBSP, ...) at both ends.
+
+    A character-set ``trim`` (no regex) with the set Python's ``str.strip``
+    uses."""
+    return F.trim(_c(c), F.lit(WHITESPACE))
 
 
 def strip_tabs(c) -> Column:
@@ -32,7 +44,7 @@ def strip_tabs(c) -> Column:
 
 def collapse_ws(c) -> Column:
     """Collapse each run of Unicode whitespace into one space."""
-    return F.regexp_replace(_c(c), r"(?U)\s+", " ")
+    return F.regexp_replace(_c(c), f"[{WS_CLASS}]+", " ")
 
 
 def title_case(c) -> Column:
@@ -81,9 +93,9 @@ NARRATIVE_STEPS = [
     (r"(?U)ART\d+", ""),
     (r"\([^)]*\)", ""),
     (r"(?U)(?<!" + WORD + r")\d+(?!" + WORD + r")", ""),
-    (r"(?U)[^\p{L}\p{N}_\s]", " "),
+    (r"(?U)[^\p{L}\p{N}_" + WS_CLASS + "]", " "),
     (r"\n+", " "),
-    (r"(?U)\s+", " "),
+    ("[" + WS_CLASS + "]+", " "),
 ]
 
 

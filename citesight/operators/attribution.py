@@ -166,7 +166,7 @@ def shap_values(forest: ForestArrays, X: np.ndarray, n_features: int | None = No
     return phi / forest.n_trees, expected / forest.n_trees
 
 
-def feature_importance(model: IsolationForestModel, df: DataFrame) -> DataFrame:
+def feature_importance(model: IsolationForestModel, df: DataFrame, rows_per_task: int = 4000) -> DataFrame:
     """``(feature, mean_abs)``: mean |Shapley value| of each feature over all
     rows of ``df``, largest first.  Each task handles its partition's rows
     (features only) and emits one partial sum per feature."""
@@ -188,7 +188,12 @@ def feature_importance(model: IsolationForestModel, df: DataFrame) -> DataFrame:
         yield pd.DataFrame({"feature": feats, "sum_abs": np.abs(phi).sum(axis=0),
                             "n": np.full(nf, X.shape[0], dtype=np.int64)})
 
-    parts = df.select(*feats).mapInPandas(run, "feature string, sum_abs double, n long")
+    # Each task tabulates every tree once, so tasks get a few thousand rows
+    # each rather than many small slices.
+    src = df.select(*feats)
+    n_rows = src.count()
+    tasks = max(1, min(src.rdd.getNumPartitions(), -(-n_rows // rows_per_task)))
+    parts = src.coalesce(tasks).mapInPandas(run, "feature string, sum_abs double, n long")
     return (parts.groupBy("feature").agg((F.sum("sum_abs") / F.sum("n")).alias("mean_abs"))
             .orderBy(F.desc("mean_abs"), F.asc("feature")))
 

@@ -16,9 +16,33 @@ def profile_columns(preset: Mapping) -> list[str]:
             + [f"total_{n}" for n, _ in preset["classes"]] + ["total_deaths"])
 
 
-def facility_profile(df: DataFrame, preset: Mapping, key: str = "FACID",
-                     number: str = "PENALTY_NUMBER", klass: str = "CLASS_FINAL",
-                     date: str = "PENALTY_ISSUE_DATE") -> DataFrame:
+def _bare_aggs(preset: Mapping, number: str, klass: str, date: str) -> list:
+    return ([F.count(F.col(number)),
+             F.coalesce(F.sum("DEATH_RELATED"), F.lit(0)).cast("bigint"),
+             F.coalesce(F.sum("APPEALED"), F.lit(0)).cast("bigint"),
+             F.coalesce(F.sum("TOTAL_BALANCE_DUE"), F.lit(0)),
+             F.coalesce(F.sum("COMPLAINT_COUNT"), F.lit(0)).cast("bigint")]
+            + [F.coalesce(F.sum(f"is_{f}"), F.lit(0)).cast("bigint") for f in preset["flags"]]
+            + [F.count_if(F.col(klass).isin(list(v))) for _, v in preset["classes"]]
+            + [F.max(date)])
+
+
+def profile_names(preset: Mapping) -> list[str]:
+    """Output columns of a profile, in order."""
+    return (["total_penalties", "total_deaths", "total_appealed", "total_balance_due", "total_complaints"]
+            + [f"total_{f}" for f in preset["flags"]] + [f"total_{n}" for n, _ in preset["classes"]]
+            + ["last_penalty_date"])
+
+
+def profile_aggs(preset: Mapping, prefix: str = "", number: str = "PENALTY_NUMBER",
+                 klass: str = "CLASS_FINAL", date: str = "PENALTY_ISSUE_DATE") -> list:
+    """The preset's named aggregates: penalty count, sums of deaths, appeals,
+    balance and complaints, one sum per keyword flag, one conditional count
+    per class list, and the latest date."""
+    return [e.alias(prefix + n) for e, n in zip(_bare_aggs(preset, number, klass, date), profile_names(preset))]
+
+
+def facility_profile(df: DataFrame, preset: Mapping, key: str = "FACID") -> DataFrame:
     """One row per facility with the preset's named aggregates.
 
     A single ``groupBy(key).agg`` of counts, sums and conditional counts: Spark
@@ -26,19 +50,27 @@ def facility_profile(df: DataFrame, preset: Mapping, key: str = "FACID",
     all rows still sends one partial row per map task.
     Sums of all-NULL inputs are 0; the latest date is NULL when no date.
     """
-    aggs = [
-        F.count(F.col(number)).alias("total_penalties"),
-        F.coalesce(F.sum("DEATH_RELATED"), F.lit(0)).cast("bigint").alias("total_deaths"),
-        F.coalesce(F.sum("APPEALED"), F.lit(0)).cast("bigint").alias("total_appealed"),
-        F.coalesce(F.sum("TOTAL_BALANCE_DUE"), F.lit(0)).alias("total_balance_due"),
-        F.coalesce(F.sum("COMPLAINT_COUNT"), F.lit(0)).cast("bigint").alias("total_complaints"),
-    ]
-    aggs += [F.coalesce(F.sum(f"is_{f}"), F.lit(0)).cast("bigint").alias(f"total_{f}")
-             for f in preset["flags"]]
-    aggs += [F.count_if(F.col(klass).isin(list(vals))).alias(f"total_{name}")
-             for name, vals in preset["classes"]]
-    aggs.append(F.max(date).alias("last_penalty_date"))
-    return df.where(F.col(key).isNotNull()).groupBy(key).agg(*aggs)
+    return df.where(F.col(key).isNotNull()).groupBy(key).agg(*profile_aggs(preset))
+
+
+def strata_profiles(df: DataFrame, first: Mapping, second: Mapping, stratum: str = "IS_HOSPITAL",
+                    values=(1, 0), key: str = "FACID") -> DataFrame:
+    """Both strata's facility profiles from one ``groupBy(stratum, key)`` pass
+    over the penalty rows (instead of one pass per stratum).  Each group lies
+    in one stratum; both presets' aggregates are computed, prefixed ``a__`` /
+    ``b__``, and ``split_strata`` keeps each stratum's own set."""
+    return (df.where(F.col(key).isNotNull() & F.col(stratum).isin(*values))
+            .groupBy(stratum, key).agg(*profile_aggs(first, "a__"), *profile_aggs(second, "b__")))
+
+
+def split_strata(grouped: DataFrame, first: Mapping, second: Mapping, stratum: str = "IS_HOSPITAL",
+                 values=(1, 0), key: str = "FACID") -> tuple[DataFrame, DataFrame]:
+    """The two per-stratum profiles out of ``strata_profiles``' result."""
+    a = grouped.where(F.col(stratum) == values[0]).select(
+        key, *[F.col("a__" + n).alias(n) for n in profile_names(first)])
+    b = grouped.where(F.col(stratum) == values[1]).select(
+        key, *[F.col("b__" + n).alias(n) for n in profile_names(second)])
+    return a, b
 
 
 def rate_name(count_col: str) -> str:

@@ -115,7 +115,7 @@ def q_rates(spark, sf):
 
 @query("eb_smooth")
 def q_eb_smooth(spark, sf):
-    t = _fac(spark, sf, hospital=False)
+    t = _fac(spark, sf, hospital=False, checkpoint=True)
     rates = [rate_name(c) for c in profile_columns(P["ltc_profile"])]
     return t.select("FACID", "total_penalties", *[r6(f"{r}_eb").alias(f"{r}_eb") for r in rates])
 
@@ -130,9 +130,8 @@ HIT_THRESHOLD = 0.4
 
 
 def _scored_by_rate(spark, sf):
-    h = _fac(spark, sf, True).withColumn("score", r6(-F.col(SCORE_RATE)))
-    lt = _fac(spark, sf, False).withColumn("score", r6(-F.col(SCORE_RATE)))
-    return h, lt
+    h, lt = pl.strata_tables(_flagged(spark, sf), P)
+    return h.withColumn("score", r6(-F.col(SCORE_RATE))), lt.withColumn("score", r6(-F.col(SCORE_RATE)))
 
 
 def _quotas(h, lt):

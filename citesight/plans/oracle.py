@@ -399,7 +399,7 @@ def _clean_sql(e: str) -> str:
         x = f"regexp_replace({x}, '{pat}', '', 'g')"
     for _ in range(2):  # stand-alone digit runs; two passes cover runs that share a separator
         x = f"regexp_replace({x}, '(^|{_NW})\\p{{Nd}}+({_NW}|$)', '\\1\\2', 'g')"
-    x = f"regexp_replace({x}, '[^\\p{{L}}\\p{{N}}_\\t\\n\\x0B\\f\\r\\x{{85}}\\p{{Z}}]', ' ', 'g')"
+    x = f"regexp_replace({x}, '[^\\p{{L}}\\p{{N}}_\\t\\n\\x0B\\f\\r\\x1C-\\x1F\\x{{85}}\\p{{Z}}]', ' ', 'g')"
     x = f"regexp_replace({x}, '\\n+', ' ', 'g')"
     x = f"regexp_replace({x}, '{ob.WS}+', ' ', 'g')"
     return f"lower({ob.utrim(x)})"

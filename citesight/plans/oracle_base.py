@@ -11,7 +11,7 @@ from __future__ import annotations
 from .. import presets
 
 # Unicode whitespace for RE2: tab..CR, NEL, and every separator (space, NBSP, ...).
-WS = r"[\t\n\x0B\f\r\x{85}\p{Z}]"
+WS = r"[\t\n\x0B\f\r\x1C-\x1F\x{85}\p{Z}]"
 
 
 def utrim(e: str) -> str:

@@ -143,15 +143,29 @@ def score_stratum(fac: DataFrame, features, contamination: float, n_trees: int =
     return scored, model, prepared
 
 
+def strata_tables(flagged: DataFrame, preset: Mapping, k: float = presets.EB_K) -> tuple[DataFrame, DataFrame]:
+    """Hospital and LTC facility tables (profile -> rates -> smoothed rates)
+    from a single aggregation pass over the penalty rows, checkpointed once."""
+    from ..operators.profile import split_strata, strata_profiles
+    hp, lp = preset["hosp_profile"], preset["ltc_profile"]
+    grouped = materialize(strata_profiles(flagged, hp, lp))
+    h, lt = split_strata(grouped, hp, lp)
+    out = []
+    for prof, pp in [(h, hp), (lt, lp)]:
+        counts = profile_columns(pp)
+        out.append(eb_smooth(add_rates(prof, counts), [rate_name(c) for c in counts], k=k))
+    return out[0], out[1]
+
+
 def score_facilities(mart: DataFrame, preset: Mapping = presets.HEALTH, n_trees: int = presets.N_TREES,
                      seed: int = presets.RANDOM_STATE):
     """Both strata scored: ``{stratum: (scored, model, prepared)}``."""
     flagged = penalty_features(mart, preset)
+    h, lt = strata_tables(flagged, preset)
     out = {}
-    for hospital, name, feats, contam in [
-            (True, presets.STRATUM_HOSPITAL, preset["hosp_features"], presets.HOSP_CONTAMINATION),
-            (False, presets.STRATUM_LTC, preset["ltc_features"], presets.LTC_CONTAMINATION)]:
-        fac = facility_table(flagged, preset, hospital, checkpoint=True)
+    for fac, name, feats, contam in [
+            (h, presets.STRATUM_HOSPITAL, preset["hosp_features"], presets.HOSP_CONTAMINATION),
+            (lt, presets.STRATUM_LTC, preset["ltc_features"], presets.LTC_CONTAMINATION)]:
         out[name] = score_stratum(fac, feats, contam, n_trees, seed)
     return out
 

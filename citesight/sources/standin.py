@@ -36,7 +36,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import presets
-from .tables import tpch
+from .tables import spread, tpch
 
 TAB = "\t"
 NBSP = " "
@@ -144,7 +144,7 @@ def raw_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def raw_narratives(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Narratives from ``documents``: whole texts with code-like prefixes and
     a lower-case facility name to title-case."""
-    d = tpch(spark, sf_dir, "documents", "doc_id", "text", "lang", "source", "n_chars")
+    d = spread(tpch(spark, sf_dir, "documents", "doc_id", "text", "lang", "source", "n_chars"))
     did = F.col("doc_id")
     codes = F.concat(
         F.lit("F"), (F.lit(1000) + did % 9000).cast("string"), F.lit(" ART"),

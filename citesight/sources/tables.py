@@ -59,3 +59,13 @@ def tpch(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFram
     """One of the driver's test tables, pruned to ``columns`` at the scan."""
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
     return df.select(*columns) if columns else df
+
+
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Spread CPU-heavy row work (regex clean-up, tokenising) over the cluster
+    when the scan yields fewer partitions than there are cores -- e.g. one
+    unsplittable file.  Inputs that already have enough partitions are left
+    as they are (no shuffle)."""
+    sc = df.sparkSession.sparkContext
+    want = min_partitions or sc.defaultParallelism
+    return df.repartition(want) if df.rdd.getNumPartitions() < want else df
