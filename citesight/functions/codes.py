@@ -34,10 +34,24 @@ def effective_class(initial, final, appealed, not_appealed: str = "No") -> Colum
     return F.when(_c(appealed) == F.lit(not_appealed), _c(initial)).otherwise(_c(final))
 
 
-def parse_date(c, formats: Sequence[str] = ("yyyy-MM-dd", "yyyy-MM-dd HH:mm:ss", "MM/dd/yyyy")) -> Column:
+# Accepted date layouts: (shape, pattern).  The shape test picks the one
+# pattern to try, so a value is parsed once instead of failing through the
+# list (a failed parse is expensive).
+DATE_LAYOUTS = (
+    (r"^\d{4}-\d{2}-\d{2}$", "yyyy-MM-dd"),
+    (r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}$", "yyyy-MM-dd HH:mm:ss"),
+    (r"^\d{2}/\d{2}/\d{4}$", "MM/dd/yyyy"),
+)
+
+
+def parse_date(c, layouts: Sequence[tuple[str, str]] = DATE_LAYOUTS) -> Column:
     """Parse text to a timestamp (no time zone); anything unparsable -> NULL."""
-    tries = [F.try_to_timestamp(_c(c), F.lit(f)) for f in formats]
-    return F.coalesce(*tries).cast("timestamp_ntz")
+    e = None
+    for shape, fmt in layouts:
+        cond = _c(c).rlike(shape)
+        val = F.try_to_timestamp(_c(c), F.lit(fmt))
+        e = F.when(cond, val) if e is None else e.when(cond, val)
+    return e.cast("timestamp_ntz")
 
 
 def yes_no_flag(c, yes: str = "Yes", no: str = "No") -> Column:

@@ -39,7 +39,7 @@ def utrim(c) -> Column:
 
 def strip_tabs(c) -> Column:
     """Remove tab characters anywhere in the text (nothing put in their place)."""
-    return F.regexp_replace(_c(c), "\t", "")
+    return F.translate(_c(c), "\t", "")
 
 
 def collapse_ws(c) -> Column:

@@ -249,4 +249,7 @@ class IsolationForest:
         draws = F.transform(trees, lambda t: F.struct(t.alias("_tree"),
                                                       _uniform(F.col(key), t, self.seed).alias("_u")))
         kept = F.filter(draws, lambda s: s["_u"] < F.lit(share)) if share < 1.0 else draws
-        return data.select("*", F.explode(kept).alias("_d")).select("*", "_d._tree", "_d._u").drop("_d")
+        # explode_outer + NULL filter keeps the optimizer from evaluating the
+        # per-tree draws a second time in an inferred pre-filter
+        return (data.select("*", F.explode_outer(kept).alias("_d")).where(F.col("_d").isNotNull())
+                .select("*", "_d._tree", "_d._u").drop("_d"))

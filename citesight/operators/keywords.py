@@ -64,7 +64,10 @@ def doc_terms(df: DataFrame, doc: str, text: str, stop_words: Sequence[str] | No
 def term_counts(df: DataFrame, doc: str, text: str, stop_words: Sequence[str] | None = None) -> DataFrame:
     """``(doc, term, tf)`` raw term counts."""
     t = doc_terms(df, doc, text, stop_words)
-    return (t.select(doc, F.explode("terms").alias("term"))
+    # explode_outer + NULL filter: a plain explode makes the optimizer infer a
+    # `size(terms) > 0` filter and push the whole text pipeline below the
+    # repartition into the scan, where it would run (twice) before spreading.
+    return (t.select(doc, F.explode_outer("terms").alias("term")).where(F.col("term").isNotNull())
             .groupBy(doc, "term").agg(F.count(F.lit(1)).alias("tf")))
 
 
