@@ -23,6 +23,12 @@ DEFAULT_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # No broadcast from file-size estimates (a filtered or pruned fact can look
+    # small); AQE still turns a join into a broadcast when the measured
+    # runtime size of a side is under its threshold, and explicit hints are
+    # only placed on sides with a proven bound.
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "10MB",
 }
 
 
