@@ -24,19 +24,41 @@ def with_rank(df: DataFrame, order: Sequence, name: str = "rank") -> DataFrame:
     return df.withColumn(name, F.row_number().over(Window.orderBy(*order)))
 
 
-def event_gaps(df: DataFrame, key: str, event: str, date: str) -> DataFrame:
+def event_gaps(df: DataFrame, key: str, event: str, date: str, partitions: int | None = None) -> DataFrame:
     """Days from each event of a facility to its previous event.
 
     The event date is the first date seen for the (facility, event) pair; the
     gap is NULL for a facility's first event.  Ties on date are ordered by the
-    event id so the result is deterministic.  The window is partitioned by
-    facility over the already aggregated (facility, event) rows.
+    event id so the result is deterministic.
+
+    Skew-safe: instead of a window partitioned by facility (one task per
+    facility, however many events it has), the (facility, event) rows are
+    range-partitioned on (facility, date, event), so a very large facility is
+    split across tasks.  The previous row is found inside each range
+    partition, and the first row of a partition takes the last row of the
+    partition before it (a table of at most ``partitions`` rows).  The range
+    assignment is checkpointed so that both uses see the same partitions.
     """
+    from ..session import materialize
+    spark = df.sparkSession
+    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     first = (df.where(F.col(key).isNotNull() & F.col(event).isNotNull())
              .groupBy(key, event).agg(F.min(date).alias("event_date")))
-    w = Window.partitionBy(key).orderBy(F.col("event_date").asc_nulls_first(), F.col(event))
-    prev = F.lag("event_date").over(w)
-    return first.withColumn("days_to_prev", F.datediff(F.col("event_date"), prev))
+    order = [F.col(key).asc(), F.col("event_date").asc_nulls_first(), F.col(event).asc()]
+    ranged = materialize(first.repartitionByRange(n, *order).withColumn("_pid", F.spark_partition_id()))
+    w = Window.partitionBy("_pid", key).orderBy(*order[1:])
+    local = (ranged.withColumn("_prev", F.lag("event_date").over(w))
+             .withColumn("_rn", F.row_number().over(w)))
+    row = F.struct(F.col(key).alias("k"), F.col("event_date").alias("d"), F.col(event).alias("e"))
+    last = ranged.groupBy("_pid").agg(F.max_by(row, row).alias("_last"))
+    # carry-in: the last row of the nearest earlier non-empty partition
+    carry = (last.withColumn("_carry", F.lag("_last").over(Window.orderBy("_pid")))
+             .select(F.col("_pid").alias("_cpid"), "_carry"))
+    joined = local.join(F.broadcast(carry), local["_pid"] == carry["_cpid"], "left")
+    from_carry = F.when(F.col("_carry.k") == F.col(key), F.col("_carry.d"))
+    prev = F.when(F.col("_rn") == 1, from_carry).otherwise(F.col("_prev"))
+    return joined.select(key, event, "event_date",
+                         F.datediff(F.col("event_date"), prev).alias("days_to_prev"))
 
 
 def gap_summary(gaps: DataFrame, by: str | None = None) -> DataFrame:

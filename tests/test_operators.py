@@ -141,3 +141,19 @@ def test_event_gaps(spark):
 def test_profile_columns_names():
     cols = profile.profile_columns(presets.HEALTH["hosp_profile"])
     assert cols[0] == "total_ae" and cols[-1] == "total_deaths" and len(cols) == 17
+
+
+def test_event_gaps_hot_facility_split_across_partitions(spark):
+    from citesight.operators.windows import event_gaps
+    d0 = dt.datetime(2020, 1, 1)
+    rows = [("hot", f"e{i:03d}", d0 + dt.timedelta(days=3 * i)) for i in range(60)]
+    rows += [("b", "x1", d0), ("b", "x2", d0 + dt.timedelta(days=2)), ("b", "x2", d0 + dt.timedelta(days=9))]
+    rows += [("c", "y1", None)]
+    df = spark.createDataFrame(rows, "FACID string, EVENTID string, PENALTY_ISSUE_DATE timestamp_ntz")
+    got = {(r.FACID, r.EVENTID): r.days_to_prev
+           for r in event_gaps(df, "FACID", "EVENTID", "PENALTY_ISSUE_DATE", partitions=7).collect()}
+    assert got[("hot", "e000")] is None
+    assert all(got[("hot", f"e{i:03d}")] == 3 for i in range(1, 60))
+    assert got[("b", "x1")] is None and got[("b", "x2")] == 2
+    assert got[("c", "y1")] is None
+    assert len(got) == 63
