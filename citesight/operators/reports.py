@@ -62,8 +62,10 @@ def flow_graph(trans: DataFrame, start: str, end: str, removed: Sequence[str], d
     nodes = nodes.withColumn("id", (F.row_number().over(Window.orderBy("side", "_o", "label")) - 1).cast("int"))
     nodes = nodes.withColumn("category", node_category(F.col("label"), severe, removed, dropped,
                                                         suffix.strip()))
-    ns = F.broadcast(nodes.where(F.col("side") == 0).select(F.col("label").alias("_sl"), F.col("id").alias("source")))
-    nt = F.broadcast(nodes.where(F.col("side") == 1).select(F.col("label").alias("_tl"), F.col("id").alias("target")))
+    # no hint: the node table's size is only known at run time, where AQE
+    # measures it and broadcasts it when small
+    ns = nodes.where(F.col("side") == 0).select(F.col("label").alias("_sl"), F.col("id").alias("source"))
+    nt = nodes.where(F.col("side") == 1).select(F.col("label").alias("_tl"), F.col("id").alias("target"))
     e = trans.withColumn("_sl", F.concat(F.col(start), F.lit(suffix))).withColumn("_tl", F.col(end))
     edges = (e.join(ns, "_sl").join(nt, "_tl")
              .select("source", "target", F.col("count").alias("value"),

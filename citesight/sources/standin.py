@@ -36,6 +36,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import presets
+from ..operators.joins import broadcast_if_small
 from .tables import spread, tpch
 
 TAB = "\t"
@@ -57,9 +58,10 @@ def _ln(k: int) -> Column:
 def penalty_base(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The joined line-item rows the stand-in tables are made of.
 
-    ``nation`` has a fixed 25 rows (broadcast); the other joins are left to the
-    planner, which broadcasts a side only when its measured size is under the
-    threshold and otherwise shuffles both sides on the key.
+    ``nation`` (25 rows in the TPC-H layout) is broadcast after a bounded
+    size check; the other joins are left to the planner, which broadcasts a
+    side only when its measured size is under the threshold and otherwise
+    shuffles both sides on the key.
     """
     li = tpch(spark, sf_dir, "lineitem", "l_orderkey", "l_partkey", "l_linenumber",
               "l_extendedprice", "l_returnflag", "l_linestatus", "l_shipdate")
@@ -72,7 +74,7 @@ def penalty_base(spark: SparkSession, sf_dir: str) -> DataFrame:
     # orders x customer first (order grain), so the line-item-sized rows are
     # shuffled only twice (on order key, then on part key)
     oc = (o.join(c, F.col("o_custkey") == F.col("c_custkey"))
-          .join(F.broadcast(n), F.col("c_nationkey") == F.col("n_nationkey")))
+          .join(broadcast_if_small(n, 10_000), F.col("c_nationkey") == F.col("n_nationkey")))
     return (li.join(oc, F.col("l_orderkey") == F.col("o_orderkey"))
             .join(p, F.col("l_partkey") == F.col("p_partkey")))
 
