@@ -230,3 +230,38 @@ def run_pipeline(spark: SparkSession, enforcement: DataFrame, lookup: DataFrame,
     out["inspection_list"] = spark.read.parquet(f"{out_dir}/inspection_list")
     out["attribution"] = spark.read.parquet(f"{out_dir}/attribution")
     return out
+
+
+def read_inputs(spark: SparkSession, enforcement: str, lookup: str, narratives: str | None = None,
+                fmt: str = "csv", narratives_encoding: str = "ISO-8859-1"):
+    """Read the three raw inputs with declared schemas.
+
+    Headers are normalised (strip + upper) before the schema is applied, so
+    exports with ``" facid "``-style headers load.  Narratives are delimited
+    Latin-1 text with quoted multi-line fields."""
+    from ..operators.filters import standardize_columns
+    from ..sources import schemas
+    from ..sources.tables import read_table
+
+    def typed(df, schema):
+        df = standardize_columns(df)
+        return df.select(*[F.col(f.name).try_cast(f.dataType).alias(f.name) if f.name in df.columns
+                           else F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields])
+
+    def load(path, schema):
+        if fmt == "csv":
+            raw = spark.read.option("header", True).csv(path)  # all text; typed below
+            return typed(raw, schema)
+        return typed(read_table(spark, path, fmt=fmt), schema)
+
+    enf = load(enforcement, schemas.ENFORCEMENT)
+    lk = load(lookup, schemas.LOOKUP)
+    narr = None
+    if narratives is not None:
+        if fmt == "csv":
+            raw = (spark.read.option("header", True).option("encoding", narratives_encoding)
+                   .option("multiLine", True).option("escape", '"').csv(narratives))
+            narr = typed(raw, schemas.NARRATIVES)
+        else:
+            narr = typed(read_table(spark, narratives, fmt=fmt), schemas.NARRATIVES)
+    return enf, lk, narr

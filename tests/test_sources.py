@@ -39,3 +39,25 @@ def test_run_pipeline(spark, tmp_path):
     assert {r.stratum for r in imp} == {presets.STRATUM_HOSPITAL, presets.STRATUM_LTC}
     kw = spark.read.parquet(str(tmp_path / "out" / "narratives"))
     assert "TOP_KEYWORDS" in kw.columns and "NARRATIVE" not in kw.columns
+
+
+def test_read_inputs_from_csv_exports(spark, tmp_path):
+    enf = tmp_path / "enf.csv"
+    enf.write_text(" facid ,PENALTY_NUMBER,Class_Assessed_Final,APPEALED,TOTAL_BALANCE_DUE,PRIORITY_ALL\n"
+                   "010000001, 7 ,B Trebled,Yes,12.50,\"C, A\"\n"
+                   "2,8,AA,No,bad,\n")
+    lk = tmp_path / "lk.csv"
+    lk.write_text("VARIABLE,VALUE,DESCRIPTION,DEFINITION\nVARIABLE,VALUE,DESCRIPTION,DEFINITION\n"
+                  "FAC_TYPE_CODE,GACH,General,duly constituted governing body\n")
+    narr = tmp_path / "narr.csv"
+    narr.write_bytes('FACID,FACILITY_NAME,NARRATIVE\n1,o\'brien\'s home,"F123 Caf\xe9 (x)\nline"\n'.encode("latin-1"))
+    e, lkp, n = pl.read_inputs(spark, str(enf), str(lk), str(narr))
+    rows = {r.FACID: r for r in e.collect()}
+    assert str(rows["010000001"].TOTAL_BALANCE_DUE) == "12.50"
+    assert rows["2"].TOTAL_BALANCE_DUE is None and rows["2"].PRIORITY_ALL is None
+    assert e.columns[:2] == ["EVENTID", "FACID"]
+    clean = {r.FACID: r for r in pl.clean_enforcement(e).collect()}
+    assert clean["010000001"].CLASS_ASSESSED_FINAL == "B TREBLED" and clean["010000001"].HIGHEST_PRIORITY == 1
+    assert pl.clean_lookup(lkp).count() == 1
+    nn = pl.clean_narratives(n).first()
+    assert nn.FACILITY_NAME == "O'Brien'S Home" and nn.NARRATIVE_CLEAN == "café line"
