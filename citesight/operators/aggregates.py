@@ -3,7 +3,8 @@
 Every aggregate is one ``groupBy().agg()`` (partial aggregation on the map
 side, one exchange on the group key).  NULL group keys are dropped, matching
 the group-by semantics the reports were written against.  Global totals are
-attached as scalar subqueries over the (already small) grouped result.
+computed once (a small grouped result is checkpointed first) and attached as
+literals.
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.numeric import round_half_even, safe_div
-from .joins import scalar
+from .joins import value
 
 
 def _keys(key) -> list[str]:
@@ -42,9 +43,10 @@ def value_counts(df: DataFrame, col: str, name: str = "count") -> DataFrame:
 
 def value_share(df: DataFrame, col: str) -> DataFrame:
     """Counts per value with the share of all counted rows in percent."""
-    counts = group_size(df, col)
-    total = scalar(counts, F.sum("count"))
-    return (counts.withColumn("percent", F.col("count") * F.lit(100.0) / total)
+    from ..session import materialize
+    counts = materialize(group_size(df, col))  # small; read twice below
+    total = value(counts, F.sum("count"))
+    return (counts.withColumn("percent", F.col("count") * F.lit(100.0) / F.lit(total))
             .orderBy(F.desc("count"), F.asc(col)))
 
 
@@ -118,8 +120,8 @@ def log_histogram(df: DataFrame, col: str, bins: int = 50) -> DataFrame:
     between the smallest and the largest value (the top edge closes the
     last bin).  Only non-empty bins are returned."""
     x = df.where(F.col(col) > 0).select(F.log10(F.col(col).cast("double")).alias("x"))
-    lo = scalar(x, F.min("x"))
-    hi = scalar(x, F.max("x"))
+    ext = x.agg(F.min("x").alias("lo"), F.max("x").alias("hi")).first()
+    lo, hi = F.lit(ext["lo"]).cast("double"), F.lit(ext["hi"]).cast("double")
     width = (hi - lo) / F.lit(float(bins))
     b = F.when(width > 0, F.least(F.floor((F.col("x") - lo) / width), F.lit(bins - 1))).otherwise(0)
     return (x.select(b.cast("int").alias("bin"))

@@ -28,6 +28,13 @@ def lookup(df: DataFrame, small: DataFrame, on: str | Sequence[str], how: str =
     return df.join(broadcast_if_small(small, max_rows), on, how)
 
 
+def value(df: DataFrame, expr: Column):
+    """A global statistic of ``df`` computed now (one aggregate job, one
+    value back) for use as a literal: unlike a scalar subquery referenced
+    several times, it is evaluated exactly once."""
+    return df.select(expr.alias("v")).first()["v"]
+
+
 def scalar(df: DataFrame, expr: Column) -> Column:
     """A global statistic of ``df`` as a scalar subquery column.
 

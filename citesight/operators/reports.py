@@ -10,16 +10,17 @@ from pyspark.sql import functions as F
 from ..functions.codes import node_category, transition_category
 from ..functions.numeric import marker_size, round_half_even
 from .aggregates import district_stats, group_size
-from .joins import lookup, scalar
+from .joins import lookup
 
 
 def district_map(mart: DataFrame, coords: DataFrame, district: str, serious: Sequence[str]) -> DataFrame:
     """District statistics with coordinates, statewide shares (1 decimal,
     half-even), serious rate and bubble size.  Shares are over districts
     only (rows without a district are not in the denominators)."""
-    st = district_stats(mart, district, serious)
-    all_actions = scalar(st, F.sum("total_actions"))
-    all_serious = scalar(st, F.sum("serious_citations"))
+    from ..session import materialize
+    st = materialize(district_stats(mart, district, serious))  # one row per district
+    tot = st.agg(F.sum("total_actions").alias("a"), F.sum("serious_citations").alias("s")).first()
+    all_actions, all_serious = F.lit(tot["a"]), F.lit(tot["s"])
     out = lookup(st, coords, district)
     share = round_half_even(F.col("total_actions") * F.lit(100.0) / all_actions, 1)
     return out.select(

@@ -18,8 +18,8 @@ def allocate_quota(first: DataFrame, second: DataFrame, hit: Column, names: Sequ
     the second the rest; unused slots are not moved.  Returns two rows
     ``(stratum, hits, quota)``.
     """
-    h1 = first.agg(F.count_if(hit).alias("h")).select("h").scalar()
-    h2 = second.agg(F.count_if(hit).alias("h")).select("h").scalar()
+    h1 = F.lit(first.agg(F.count_if(hit).alias("h")).first()["h"]).cast("bigint")
+    h2 = F.lit(second.agg(F.count_if(hit).alias("h")).first()["h"]).cast("bigint")
     q1 = quota(h1, h1 + h2, slots)
     one = first.sparkSession.range(1)
     return one.select(F.inline(F.array(
