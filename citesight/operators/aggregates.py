@@ -89,7 +89,8 @@ def crosstab_share(df: DataFrame, row: str, col: str, values: Sequence, top: int
     (window over the grouped counts) -> row totals -> top rows (a bounded
     ``limit``, broadcast back) -> pivot over the given column values.
     """
-    counts = group_size(df, [row, col])
+    from ..session import materialize
+    counts = materialize(group_size(df, [row, col]))  # small; read twice below
     pct = counts.withColumn(
         "pct", F.col("count") * F.lit(100.0) / F.sum("count").over(Window.partitionBy(col)))
     top_rows = (pct.groupBy(row).agg(F.sum("pct").alias("_total"))

@@ -53,6 +53,8 @@ def flow_graph(trans: DataFrame, start: str, end: str, removed: Sequence[str], d
     """
     from pyspark.sql import Window
 
+    from ..session import materialize
+    trans = materialize(trans)  # at most one row per class pair; read five times below
     # End labels are listed in order of first appearance in the (start, end)
     # sorted transition table: by their smallest start class, then label.
     src = (trans.select(F.concat(F.col(start), F.lit(suffix)).alias("label")).distinct()

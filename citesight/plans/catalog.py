@@ -17,6 +17,7 @@ from .. import presets
 from ..operators import aggregates as agg
 from ..operators import filters, joins, profile, selection, windows
 from ..operators.profile import profile_columns, rate_name
+from ..session import materialize
 from ..sources import standin
 from . import pipelines as pl
 
@@ -394,11 +395,10 @@ def q_gap_by_group(spark, sf):
 @query("union_strata")
 def q_union_strata(spark, sf):
     f = _flagged(spark, sf)
-    h = profile.facility_profile(f.where(F.col("IS_HOSPITAL") == 1), P["hosp_profile"]) \
-        .withColumn("stratum", F.lit(presets.STRATUM_HOSPITAL))
-    lt = profile.facility_profile(f.where(F.col("IS_HOSPITAL") == 0), P["ltc_profile"]) \
-        .withColumn("stratum", F.lit(presets.STRATUM_LTC))
-    u = selection.union_strata(h, lt)
+    grouped = materialize(profile.strata_profiles(f, P["hosp_profile"], P["ltc_profile"]))
+    h, lt = profile.split_strata(grouped, P["hosp_profile"], P["ltc_profile"])
+    u = selection.union_strata(h.withColumn("stratum", F.lit(presets.STRATUM_HOSPITAL)),
+                               lt.withColumn("stratum", F.lit(presets.STRATUM_LTC)))
     return u.select("stratum", "FACID", "total_penalties", dbl("total_ap_ij").alias("total_ap_ij"),
                     dbl("total_class_aa").alias("total_class_aa"), "total_ftr_br")
 
