@@ -157,3 +157,34 @@ def test_event_gaps_hot_facility_split_across_partitions(spark):
     assert got[("b", "x1")] is None and got[("b", "x2")] == 2
     assert got[("c", "y1")] is None
     assert len(got) == 63
+
+
+def test_flag_substring_rules(spark):
+    df = spark.createDataFrame([("Rainfall injuries",), ("Deliberate breach of PHI",), (None,)],
+                               "PENALTY_CATEGORY string")
+    got = filters.keyword_flags(df, "PENALTY_CATEGORY", presets.HEALTH_FLAGS).collect()
+    assert got[0].is_ae_fall == 1
+    assert got[1].is_breach == 1 and got[1].is_deliberate_breach == 1
+    assert all(getattr(got[2], f) == 0 for f in presets.HEALTH_FLAGS)
+
+
+def test_lookup_value_trimmed_description_kept(spark):
+    rows = [("Class_Assessed_Final", " C_AA\t", " AA ", None)]
+    lk = pl.clean_lookup(spark.createDataFrame(rows, "VARIABLE string, VALUE string, DESCRIPTION string, "
+                                                     "DEFINITION string")).first()
+    assert lk.VALUE == "C_AA" and lk.DESCRIPTION == " AA "
+
+
+def test_mart_alias_swap(spark):
+    mart = pl.build_mart(pl.clean_enforcement(_raw_enf(spark, [_row("1", "SNF", "AA", "AA", "No", "1.00")])),
+                         _lookup(spark))
+    r = mart.first()
+    assert r.CLASS_FINAL == "AA" and r.DESCRIPTION == "C_AA"
+
+
+def test_profile_all_null_dates_and_sums(spark):
+    rows = [_row("9", "SNF", "B", "B", "No", None, pnum="q1", date="not a date"),
+            _row("9", "SNF", "B", "B", "No", None, pnum="q2", date="31/31/2020")]
+    mart = pl.build_mart(pl.clean_enforcement(_raw_enf(spark, rows)), _lookup(spark))
+    prof = profile.facility_profile(pl.penalty_features(mart, presets.HEALTH), presets.HEALTH["ltc_profile"]).first()
+    assert prof.last_penalty_date is None and prof.total_balance_due == 0 and prof.total_penalties == 2
