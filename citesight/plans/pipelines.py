@@ -213,11 +213,11 @@ def run_pipeline(spark: SparkSession, enforcement: DataFrame, lookup: DataFrame,
     """Whole run in one application: clean, build and store the mart, score,
     select, explain.  Tables are written as Parquet under ``out_dir``."""
     from ..operators.keywords import tfidf, top_keywords
-    from ..sources.tables import write_table
+    from ..sources.tables import load_mart, write_table
     enf = clean_enforcement(enforcement, preset)
     lk = clean_lookup(lookup)
     write_table(build_mart(enf, lk), f"{out_dir}/enriched_mart")
-    mart = spark.read.parquet(f"{out_dir}/enriched_mart")
+    mart = load_mart(spark, f"{out_dir}/enriched_mart")
     out = {"enriched_mart": mart}
     if narratives is not None:
         nc = clean_narratives(narratives)
