@@ -85,7 +85,10 @@ def tfidf(docs: DataFrame, doc: str, text: str, size: int = presets.TFIDF_VOCAB_
     idf = ln((1 + N) / (1 + df)) + 1 with N = all documents (empty ones
     included); weight = tf * idf / L2 norm of the document's vocabulary row.
     """
-    tf = term_counts(docs, doc, text, stop_words)
+    from ..session import materialize
+    # the term counts feed both the vocabulary and the weights: written once
+    # so the text clean-up and tokenising run once
+    tf = materialize(term_counts(docs, doc, text, stop_words))
     vocab = vocabulary(tf, doc, size)
     n_docs = scalar(docs, F.count(F.lit(1))).cast("double")
     idf = F.log((F.lit(1.0) + n_docs) / (F.lit(1.0) + F.col("df").cast("double"))) + F.lit(1.0)
