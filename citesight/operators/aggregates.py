@@ -99,10 +99,11 @@ def crosstab_share(df: DataFrame, row: str, col: str, values: Sequence, top: int
     return kept.groupBy(row).pivot(col, list(values)).agg(F.first("pct")).na.fill(0.0)
 
 
-def table_report(df: DataFrame, key: str) -> DataFrame:
-    """Row count and distinct-key count of a table."""
-    return df.agg(F.count(F.lit(1)).alias("row_count"),
-                  F.count_distinct(F.col(key)).alias("distinct_keys"))
+def table_report(df: DataFrame, key: str, approx: bool = False, rsd: float = 0.01) -> DataFrame:
+    """Row count and distinct-key count of a table (exact, or HyperLogLog++
+    with relative error ``rsd`` when ``approx``)."""
+    distinct = (F.approx_count_distinct(F.col(key), rsd) if approx else F.count_distinct(F.col(key)))
+    return df.agg(F.count(F.lit(1)).alias("row_count"), distinct.alias("distinct_keys"))
 
 
 def district_stats(df: DataFrame, district: str, serious: Sequence[str],
