@@ -47,8 +47,9 @@ def exact_quantile(df: DataFrame, col: str, q: float) -> float | None:
             lo = None
         if k1 >= below + inside:
             hi = None
-    # Many equal values can make the bracket large: halve it by value (one
-    # count per step) until it is small or holds a single value.
+    # Many equal values can make the bracket large: split it at its midpoint
+    # (one aggregate per step) and snap the kept half to actual values, until
+    # it is small, holds a single value, or the two ranks straddle the split.
     for _ in range(200):
         if inside <= MAX_BRACKET:
             break
@@ -60,16 +61,17 @@ def exact_quantile(df: DataFrame, col: str, q: float) -> float | None:
         if lo == hi:
             return float(lo)
         mid = lo + (hi - lo) / 2.0
-        if mid <= lo or mid >= hi:
-            break
-        n_low = x.where((F.col("x") >= F.lit(lo)) & (F.col("x") < F.lit(mid))).count()
-        if k0 < below + n_low and k1 < below + n_low:
-            hi, inside = mid, n_low  # both ranks below mid (values < mid)
-            hi = x.where((F.col("x") >= F.lit(lo)) & (F.col("x") < F.lit(mid))).agg(F.max("x")).first()[0]
+        in_lo = (F.col("x") >= F.lit(lo)) & (F.col("x") < F.lit(mid))
+        in_hi = (F.col("x") >= F.lit(mid)) & (F.col("x") <= F.lit(hi))
+        r = x.agg(F.count_if(in_lo).alias("n"), F.max(F.when(in_lo, F.col("x"))).alias("lmax"),
+                  F.min(F.when(in_hi, F.col("x"))).alias("hmin")).first()
+        n_low = r["n"]
+        if k1 < below + n_low:
+            hi, inside = r["lmax"], n_low
         elif k0 >= below + n_low:
-            below, inside, lo = below + n_low, inside - n_low, mid
-        else:
-            break  # the two ranks straddle mid; the bracket is as small as it gets here
+            lo, below, inside = r["hmin"], below + n_low, inside - n_low
+        else:  # k0 is the last value below mid, k1 the first one above
+            return r["lmax"] + (r["hmin"] - r["lmax"]) * frac
     lo_c = F.lit(lo) if lo is not None else F.lit(float("-inf"))
     hi_c = F.lit(hi) if hi is not None else F.lit(float("inf"))
     vals = sorted(v["x"] for v in x.where((F.col("x") >= lo_c) & (F.col("x") <= hi_c)).collect())
