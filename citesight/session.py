@@ -85,7 +85,7 @@ def materialize(df, how: str | None = None):
     return spark.read.parquet(path)
 
 
-_SHIPPED: set[int] = set()
+_SHIPPED: set[str] = set()
 
 
 def ship_package(spark: SparkSession) -> None:
@@ -93,11 +93,12 @@ def ship_package(spark: SparkSession) -> None:
     functions that run library code inside tasks).  The package is zipped
     once per application and distributed with ``addPyFile``."""
     sc = spark.sparkContext
-    if id(sc) in _SHIPPED:
+    app = sc.applicationId
+    if app in _SHIPPED:
         return
     import shutil
     pkg = os.path.dirname(os.path.abspath(__file__))
     out = tempfile.mkdtemp(prefix="citesight-pkg-")
     archive = shutil.make_archive(os.path.join(out, "citesight"), "zip", os.path.dirname(pkg), "citesight")
     sc.addPyFile(archive)
-    _SHIPPED.add(id(sc))
+    _SHIPPED.add(app)
