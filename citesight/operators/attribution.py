@@ -170,10 +170,10 @@ def feature_importance(model: IsolationForestModel, df: DataFrame, rows_per_task
     """``(feature, mean_abs)``: mean |Shapley value| of each feature over all
     rows of ``df``, largest first.  Each task handles its partition's rows
     (features only) and emits one partial sum per feature."""
-    from ..session import ship_package
+    from ..session import share, ship_package
     spark = df.sparkSession
     ship_package(spark)
-    bc = spark.sparkContext.broadcast(model.arrays())
+    bc = share(spark, model.arrays())
     feats = list(model.features)
     nf = len(feats)
 
@@ -193,13 +193,17 @@ def feature_importance(model: IsolationForestModel, df: DataFrame, rows_per_task
     # amortise the tables on a large input.
     src = df.select(*feats)
     n_rows = src.count()
-    par = spark.sparkContext.defaultParallelism
+    try:
+        par = spark.sparkContext.defaultParallelism
+        have = src.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - Spark Connect: no RDD view
+        par, have = 8, None
     per_task = rows_per_task or max(2000, min(20000, -(-n_rows // max(par, 1))))
     tasks = max(1, -(-n_rows // per_task))
-    if tasks < src.rdd.getNumPartitions():
-        src = src.coalesce(tasks)
-    elif tasks > src.rdd.getNumPartitions():
+    if have is None or tasks > have:
         src = src.repartition(tasks)
+    elif tasks < have:
+        src = src.coalesce(tasks)
     parts = src.mapInPandas(run, "feature string, sum_abs double, n long")
     return (parts.groupBy("feature").agg((F.sum("sum_abs") / F.sum("n")).alias("mean_abs"))
             .orderBy(F.desc("mean_abs"), F.asc("feature")))

@@ -184,10 +184,10 @@ class IsolationForestModel:
 
     def raw_scores(self, df: DataFrame, name: str = "raw_score") -> DataFrame:
         """Append the raw score (``-s``) to every row, in Arrow batches."""
-        from ..session import ship_package
+        from ..session import share, ship_package
         spark = df.sparkSession
         ship_package(spark)
-        bc = spark.sparkContext.broadcast(self.arrays())
+        bc = share(spark, self.arrays())
         feats = list(self.features)
         schema = T.StructType(df.schema.fields + [T.StructField(name, T.DoubleType(), True)])
 

@@ -46,23 +46,44 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
     return spark
 
 
+def _context(spark: SparkSession):
+    """The SparkContext, or None on a session without one (Spark Connect)."""
+    try:
+        return spark.sparkContext
+    except Exception:  # noqa: BLE001 - Connect sessions raise here
+        return None
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder the cluster names.
 
     ``spark.checkpoint.dir`` is read from the session.  Only when it is unset
     (local tests) do we set a scratch folder of our own.
     """
+    sc = _context(spark)
     current = spark.conf.get("spark.checkpoint.dir", None)
-    if not current:
-        current = spark.sparkContext.getCheckpointDir() if hasattr(
-            spark.sparkContext, "getCheckpointDir") else None
+    if not current and sc is not None:
+        current = sc.getCheckpointDir()
     if not current:
         current = tempfile.mkdtemp(prefix="citesight-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
         spark.conf.set("spark.checkpoint.dir", current)
-    spark.sparkContext.setCheckpointDir(current)
+    if sc is not None and sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(current)
     return current
 
 
+class _Held:
+    def __init__(self, value):
+        self.value = value
+
+
+def share(spark: SparkSession, value):
+    """A read-only value for tasks: a broadcast variable when the session has
+    a SparkContext, else carried with the task closure."""
+    sc = _context(spark)
+    return sc.broadcast(value) if sc is not None else _Held(value)
+
+
 def materialize(df, how: str | None = None):
     """Cut the lineage of ``df`` by writing it to the shared folder named by
     ``spark.checkpoint.dir`` and reading it back.
@@ -91,14 +112,18 @@ _SHIPPED: set[str] = set()
 def ship_package(spark: SparkSession) -> None:
     """Make this package importable in Python workers (for the few Arrow
     functions that run library code inside tasks).  The package is zipped
-    once per application and distributed with ``addPyFile``."""
-    sc = spark.sparkContext
-    app = sc.applicationId
+    once per application and distributed with ``addPyFile`` (or as an
+    artifact on a Spark Connect session)."""
+    import shutil
+    sc = _context(spark)
+    app = sc.applicationId if sc is not None else f"connect-{id(spark)}"
     if app in _SHIPPED:
         return
-    import shutil
     pkg = os.path.dirname(os.path.abspath(__file__))
     out = tempfile.mkdtemp(prefix="citesight-pkg-")
     archive = shutil.make_archive(os.path.join(out, "citesight"), "zip", os.path.dirname(pkg), "citesight")
-    sc.addPyFile(archive)
+    if sc is not None:
+        sc.addPyFile(archive)
+    else:
+        spark.addArtifacts(archive, pyfile=True)
     _SHIPPED.add(app)

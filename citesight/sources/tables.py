@@ -66,6 +66,9 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     when the scan yields fewer partitions than there are cores -- e.g. one
     unsplittable file.  Inputs that already have enough partitions are left
     as they are (no shuffle)."""
-    sc = df.sparkSession.sparkContext
-    want = min_partitions or sc.defaultParallelism
-    return df.repartition(want) if df.rdd.getNumPartitions() < want else df
+    try:
+        want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        have = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - no RDD view (Spark Connect): leave as is
+        return df
+    return df.repartition(want) if have < want else df
