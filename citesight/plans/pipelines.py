@@ -22,8 +22,13 @@ from ..session import materialize
 from ..sources import standin
 
 
-def clean_enforcement(df: DataFrame, preset: Mapping = presets.HEALTH) -> DataFrame:
-    """Clean and recode raw penalty records (all columns kept)."""
+def clean_enforcement(df: DataFrame, preset: Mapping = presets.HEALTH,
+                      category_recode: Mapping[str, str] | None = None) -> DataFrame:
+    """Clean and recode raw penalty records (all columns kept).
+
+    ``category_recode`` optionally standardises PENALTY_CATEGORY (trimmed,
+    then recoded, unmapped values kept); by default categories are left as
+    they are and the keyword flags read them raw."""
     caf = recode(strip_tabs(utrim(strip_tabs(utrim(F.col("CLASS_ASSESSED_FINAL"))))),
                  preset["class_final_recode"])
     cai = strip_tabs(utrim(F.col("CLASS_ASSESSED_INITIAL")))
@@ -38,6 +43,8 @@ def clean_enforcement(df: DataFrame, preset: Mapping = presets.HEALTH) -> DataFr
         "CLASS_ASSESSED_INITIAL": cai,
         "CLASS_ASSESSED_FINAL": caf,
     })
+    if category_recode:
+        step1 = step1.withColumn("PENALTY_CATEGORY", recode(utrim("PENALTY_CATEGORY"), category_recode))
     return step1.withColumns({
         "CLASS_ASSESSED_FINAL": effective_class("CLASS_ASSESSED_INITIAL", "CLASS_ASSESSED_FINAL", "APPEALED"),
         "HIGHEST_PRIORITY": recode(highest_priority("PRIORITY_ALL", presets.PRIORITY_TOKENS),

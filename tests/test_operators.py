@@ -188,3 +188,17 @@ def test_profile_all_null_dates_and_sums(spark):
     mart = pl.build_mart(pl.clean_enforcement(_raw_enf(spark, rows)), _lookup(spark))
     prof = profile.facility_profile(pl.penalty_features(mart, presets.HEALTH), presets.HEALTH["ltc_profile"]).first()
     assert prof.last_penalty_date is None and prof.total_balance_due == 0 and prof.total_penalties == 2
+
+
+def test_optional_category_recode(spark):
+    rows = [_row("1", "SNF", "A", "A", "No", "1.00", cat=" AE04 - Retention of a foreign object ")]
+    raw = _raw_enf(spark, rows)
+    plain = pl.clean_enforcement(raw).first()
+    assert plain.PENALTY_CATEGORY == " AE04 - Retention of a foreign object "
+    rec = pl.clean_enforcement(raw, category_recode={"AE04 - Retention of a foreign object":
+                                                     "AE: Retention of a foreign object"}).first()
+    assert rec.PENALTY_CATEGORY == "AE: Retention of a foreign object"
+    flags = filters.keyword_flags(pl.clean_enforcement(raw, category_recode={
+        "AE04 - Retention of a foreign object": "AE: Retention of a foreign object"}),
+        "PENALTY_CATEGORY", presets.HEALTH_FLAGS).first()
+    assert flags.is_ae == 1 and flags.is_ae_surgery == 1
