@@ -99,12 +99,27 @@ def tfidf(docs: DataFrame, doc: str, text: str, size: int = presets.TFIDF_VOCAB_
 
 
 def top_keywords(docs: DataFrame, weights: DataFrame, doc: str, n: int = presets.TOP_KEYWORDS,
-                 name: str = "TOP_KEYWORDS") -> DataFrame:
+                 name: str = "TOP_KEYWORDS", pad: bool = False) -> DataFrame:
     """The ``n`` highest-weighted terms of each document joined with ``', '``
-    (ties: later term first).  Documents without a vocabulary term get ''."""
+    (ties: later term first).  Documents without a vocabulary term get ''.
+
+    With ``pad`` a document with fewer than ``n`` positive terms is filled up
+    with zero-weight vocabulary terms, later terms first (the same tie rule),
+    so every document lists ``n`` terms when the vocabulary allows.  The
+    candidates are the ``2n - 1`` last vocabulary terms (a bounded literal
+    list): at most ``n - 1`` of them can already be in the document.
+    """
     w = Window.partitionBy(doc).orderBy(F.desc("weight"), F.desc("term"))
     top = (weights.where(F.col("weight") > 0).withColumn("_rn", F.row_number().over(w))
            .where(F.col("_rn") <= n)
            .groupBy(doc).agg(F.sort_array(F.collect_list(F.struct("_rn", "term"))).alias("_t")))
-    joined = top.select(doc, F.array_join(F.transform("_t", lambda s: s["term"]), ", ").alias(name))
-    return docs.select(doc).join(joined, doc, "left").select(doc, F.coalesce(F.col(name), F.lit("")).alias(name))
+    terms = F.transform("_t", lambda s: s["term"])
+    joined = top.select(doc, terms.alias("_terms"))
+    out = docs.select(doc).join(joined, doc, "left")
+    chosen = F.coalesce(F.col("_terms"), F.array().cast("array<string>"))
+    if pad:
+        pool = [r["term"] for r in weights.select("term").distinct()
+                .orderBy(F.desc("term")).limit(2 * n - 1).collect()]
+        fill = F.array_except(F.array(*[F.lit(t) for t in pool]).cast("array<string>"), chosen)
+        chosen = F.concat(chosen, F.slice(fill, 1, F.greatest(F.lit(n) - F.size(chosen), F.lit(0))))
+    return out.select(doc, F.array_join(chosen, ", ").alias(name))

@@ -202,3 +202,16 @@ def test_optional_category_recode(spark):
         "AE04 - Retention of a foreign object": "AE: Retention of a foreign object"}),
         "PENALTY_CATEGORY", presets.HEALTH_FLAGS).first()
     assert flags.is_ae == 1 and flags.is_ae_surgery == 1
+
+
+def test_top_keywords_pad(spark):
+    from citesight.operators.keywords import top_keywords
+    docs = spark.createDataFrame([("d1",), ("d2",), ("d3",)], "doc string")
+    w = spark.createDataFrame([("d1", "alpha", 0.9), ("d1", "beta", 0.9), ("d1", "gamma", 0.1), ("d1", "delta", 0.5),
+                               ("d2", "alpha", 1.0), ("d2", "zeta", 0.0)], "doc string, term string, weight double")
+    got = {r.doc: r.TOP_KEYWORDS for r in top_keywords(docs, w, "doc").collect()}
+    assert got == {"d1": "beta, alpha, delta", "d2": "alpha", "d3": ""}
+    padded = {r.doc: r.TOP_KEYWORDS for r in top_keywords(docs, w, "doc", pad=True).collect()}
+    assert padded["d1"] == "beta, alpha, delta"
+    assert padded["d2"] == "alpha, zeta, gamma"
+    assert padded["d3"] == "zeta, gamma, delta"
