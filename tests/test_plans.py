@@ -52,3 +52,17 @@ def test_entry_smoke(spark):
     df = e.entry(spark)
     assert len(df.collect()) <= 25
     assert set(e.oracle_sql()) <= set(e.queries())
+
+
+def test_no_unpartitioned_window_over_rows(spark):
+    import re
+    for key in ["share_within", "complaints_by_type", "crosstab_share", "top_k_strata", "tfidf"]:
+        df = QUERIES[key](spark, SF_SMALL)
+        df.write.format("noop").mode("overwrite").save()
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        lines = [ln for ln in plan.splitlines() if re.search(r"(^|- )Window \[", ln)]
+        assert lines, key
+        for ln in lines:
+            tail = ln.rsplit(" AS ", 1)[-1]          # "name#1], [partition], [order]"
+            partition = tail.split("], [")[1].rstrip("]")
+            assert partition.strip(), (key, ln)
