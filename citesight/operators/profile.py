@@ -127,3 +127,26 @@ def standard_scale(df: DataFrame, cols: Sequence[str]) -> DataFrame:
         scale = s if (s is not None and s > 0) else 1.0
         out[c] = (F.col(c).cast("double") - F.lit(m if m is not None else 0.0)) / F.lit(float(scale))
     return df.withColumns(out)
+
+
+def impute_and_scale(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """``standard_scale(impute_median(df))`` with fewer passes: one aggregate
+    gives NULL counts, means and standard deviations; only when a column has
+    NULLs are its median and its statistics after filling computed again."""
+    aggs = []
+    for c in cols:
+        aggs += [F.count_if(F.col(c).isNull()).alias(f"n_{c}"), F.avg(c).alias(f"m_{c}"),
+                 F.stddev_pop(c).alias(f"s_{c}")]
+    st = df.agg(*aggs).first().asDict()
+    with_nulls = [c for c in cols if st[f"n_{c}"]]
+    if with_nulls:
+        df = impute_median(df, with_nulls)
+        st2 = df.agg(*[F.avg(c).alias(f"m_{c}") for c in with_nulls],
+                     *[F.stddev_pop(c).alias(f"s_{c}") for c in with_nulls]).first().asDict()
+        st.update(st2)
+    out = {}
+    for c in cols:
+        m, s = st[f"m_{c}"], st[f"s_{c}"]
+        scale = s if (s is not None and s > 0) else 1.0
+        out[c] = (F.col(c).cast("double") - F.lit(m if m is not None else 0.0)) / F.lit(float(scale))
+    return df.withColumns(out)

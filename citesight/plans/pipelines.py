@@ -130,10 +130,9 @@ Z = "_z_"
 def prepare_features(fac: DataFrame, features) -> DataFrame:
     """Median-imputed, standardised copies of ``features`` (prefixed ``_z_``)
     next to the original columns."""
-    from ..operators.profile import impute_median, standard_scale
+    from ..operators.profile import impute_and_scale
     z = fac.withColumns({Z + c: F.col(c).cast("double") for c in features})
-    zc = [Z + c for c in features]
-    return standard_scale(impute_median(z, zc), zc)
+    return impute_and_scale(z, [Z + c for c in features])
 
 
 def score_stratum(fac: DataFrame, features, contamination: float, n_trees: int = presets.N_TREES,

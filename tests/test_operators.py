@@ -215,3 +215,11 @@ def test_top_keywords_pad(spark):
     assert padded["d1"] == "beta, alpha, delta"
     assert padded["d2"] == "alpha, zeta, gamma"
     assert padded["d3"] == "zeta, gamma, delta"
+
+
+def test_impute_and_scale_equals_two_steps(spark):
+    df = spark.createDataFrame([(1.0, 5.0), (None, 5.0), (3.0, 5.0), (10.0, 5.0)], "a double, b double")
+    one = profile.impute_and_scale(df, ["a", "b"]).collect()
+    two = profile.standard_scale(profile.impute_median(df, ["a", "b"]), ["a", "b"]).collect()
+    assert [(round(r.a, 12), r.b) for r in one] == [(round(r.a, 12), r.b) for r in two]
+    assert all(r.b == 0.0 for r in one)
