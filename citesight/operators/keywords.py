@@ -1,9 +1,9 @@
 """Narrative keywords: tokens, uni+bigrams, a top-N vocabulary, TF-IDF and
 the top terms per document.
 
-Tokenising, stop-word removal and bigram building use Spark ML's JVM
-transformers (``RegexTokenizer``, ``StopWordsRemover``, ``NGram``); everything
-after is a long ``(doc, term, ...)`` table, never a dense matrix.
+Tokenising, stop-word removal and bigram building are built-in array
+expressions; everything after is a long ``(doc, term, ...)`` table, never a
+dense matrix.
 
 Plan shape: tokens are exploded and counted per ``(doc, term)`` -- a document
 lives in one input partition, so the partial aggregate already collapses it
@@ -16,12 +16,9 @@ window over at most N rows per document.
 from __future__ import annotations
 
 import functools
-import glob
-import os
-import zipfile
+import pkgutil
 from collections.abc import Sequence
 
-from pyspark.ml.feature import NGram, RegexTokenizer, StopWordsRemover
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -30,22 +27,14 @@ from .joins import scalar
 
 
 @functools.lru_cache(maxsize=1)
-def spark_english_stop_words() -> tuple[str, ...]:
-    """Spark ML's default English stop-word list, read from the installed
-    Spark ML jar so that the JVM transformer and any SQL check use the same
-    list (no copy is kept here)."""
-    import pyspark
-    jars = glob.glob(os.path.join(os.path.dirname(pyspark.__file__), "jars", "spark-mllib_*.jar"))
-    for jar in jars:
-        with zipfile.ZipFile(jar) as z:
-            name = "org/apache/spark/ml/feature/stopwords/english.txt"
-            if name in z.namelist():
-                return tuple(w for w in z.read(name).decode("utf-8").split() if w)
-    return tuple(StopWordsRemover.loadDefaultStopWords("english"))
+def english_stop_words() -> tuple[str, ...]:
+    """The packaged English stop-word list (``data/stopwords_en.txt``)."""
+    raw = pkgutil.get_data("citesight", "data/stopwords_en.txt").decode("utf-8")
+    return tuple(w for w in raw.splitlines() if w and not w.startswith("#"))
 
 
 def default_stop_words() -> list[str]:
-    return list(dict.fromkeys(list(spark_english_stop_words()) + presets.CUSTOM_STOP_WORDS))
+    return list(dict.fromkeys(list(english_stop_words()) + presets.CUSTOM_STOP_WORDS))
 
 
 def doc_terms(df: DataFrame, doc: str, text: str, stop_words: Sequence[str] | None = None,
@@ -53,12 +42,12 @@ def doc_terms(df: DataFrame, doc: str, text: str, stop_words: Sequence[str] | No
     """``(doc, terms)``: tokens matching ``pattern`` (lower-cased), stop words
     removed, then unigrams followed by bigrams of the remaining tokens."""
     sw = list(stop_words) if stop_words is not None else default_stop_words()
-    tok = RegexTokenizer(inputCol=text, outputCol="_tok", pattern=pattern, gaps=False,
-                         toLowercase=True, minTokenLength=1)
-    rem = StopWordsRemover(inputCol="_tok", outputCol="_uni", stopWords=sw, caseSensitive=True)
-    bi = NGram(n=2, inputCol="_uni", outputCol="_bi")
-    t = bi.transform(rem.transform(tok.transform(df.select(doc, F.coalesce(F.col(text), F.lit("")).alias(text)))))
-    return t.select(doc, F.concat("_uni", "_bi").alias("terms"))
+    tokens = F.regexp_extract_all(F.lower(F.coalesce(F.col(text), F.lit(""))), F.lit(pattern), F.lit(0))
+    uni = df.select(doc, F.filter(tokens, lambda t: ~t.isin(sw)).alias("_uni"))
+    pairs = F.zip_with(F.col("_uni"), F.slice("_uni", F.lit(2), F.greatest(F.size("_uni") - 1, F.lit(0))),
+                       lambda a, b: F.concat_ws(" ", a, b))
+    bi = F.slice(pairs, F.lit(1), F.greatest(F.size("_uni") - 1, F.lit(0)))
+    return uni.select(doc, F.concat(F.col("_uni"), bi).alias("terms"))
 
 
 def term_counts(df: DataFrame, doc: str, text: str, stop_words: Sequence[str] | None = None) -> DataFrame:
