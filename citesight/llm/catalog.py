@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.tables import tpch
-from . import chat, lines, mixing, urls
+from . import bpe, chat, embeddings, fingerprints, langid, lines, mixing, urls
 
 
 def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -15,6 +15,20 @@ def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
 
 
+def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+    model = bpe.load(spark, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    return bpe.encode_texts(tpch(spark, sf_dir, "documents", "doc_id", "text"), model)
+
+
+def op4_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.near_dedup(tpch(spark, sf_dir, "embeddings", "vec_id", "embedding"))
+
+
+def op5_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.fingerprint_versions(tpch(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = lines.dedup_lines(tpch(spark, sf_dir, "documents", "doc_id", "text"))
     kept = F.coalesce(F.col("text"), F.lit(""))
@@ -38,6 +52,15 @@ def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.filter_urls(tpch(spark, sf_dir, "pages", "page_id", "url"), outcomes)
 
 
-QUERIES = {q.__name__: q for q in (op1_mix_sources, op7_line_dedup, op8_chat_format, op9_url_filter)}
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = tpch(spark, sf_dir, "documents", "doc_id", "text", "lang").withColumn("held_out", langid.held_out())
+    model = langid.fit(docs.where(F.col("doc_id").isNotNull() & ~F.col("held_out")))
+    out = langid.identify(docs, model, ["doc_id", "held_out"])
+    return out.select("doc_id", "held_out", "lang_pred", "score", "accepted")
+
+
+QUERIES = {q.__name__: q for q in (
+    op1_mix_sources, op2_byte_bpe, op4_embedding_dedup, op5_fingerprints, op7_line_dedup, op8_chat_format, op9_url_filter,
+    op10_language_id)}
 ORACLE = {"op1_mix_sources": mixing.ORACLE_SQL, "op7_line_dedup": lines.ORACLE_SQL,
           "op8_chat_format": chat.ORACLE_SQL, "op9_url_filter": urls.ORACLE_SQL}
