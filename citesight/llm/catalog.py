@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.tables import tpch
-from . import bpe, chat, embeddings, fingerprints, langid, lines, mixing, urls
+from . import bpe, chat, embeddings, fingerprints, langid, lines, mixing, shingles, urls
 
 
 def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -21,6 +21,10 @@ def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_texts(tpch(spark, sf_dir, "documents", "doc_id", "text"), model)
 
 
+def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shingles.ngram_groups(tpch(spark, sf_dir, "documents", "doc_id", "text")).drop("_rk")
+
+
 def op4_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embeddings.near_dedup(tpch(spark, sf_dir, "embeddings", "vec_id", "embedding"))
 
@@ -60,7 +64,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {q.__name__: q for q in (
-    op1_mix_sources, op2_byte_bpe, op4_embedding_dedup, op5_fingerprints, op7_line_dedup, op8_chat_format, op9_url_filter,
-    op10_language_id)}
+    op1_mix_sources, op2_byte_bpe, op3_ngram_join, op4_embedding_dedup, op5_fingerprints, op7_line_dedup,
+    op8_chat_format, op9_url_filter, op10_language_id)}
 ORACLE = {"op1_mix_sources": mixing.ORACLE_SQL, "op7_line_dedup": lines.ORACLE_SQL,
           "op8_chat_format": chat.ORACLE_SQL, "op9_url_filter": urls.ORACLE_SQL}
