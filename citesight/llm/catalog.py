@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.tables import tpch
-from . import bpe, chat, embeddings, fingerprints, langid, lines, mixing, shingles, urls
+from . import bpe, chat, embeddings, fingerprints, langid, lines, mixing, shingles, suffixes, urls
 
 
 def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -33,6 +33,10 @@ def op5_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprint_versions(tpch(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.remove_repeats(tpch(spark, sf_dir, "documents", "doc_id", "text")).drop("rid", "kept")
+
+
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = lines.dedup_lines(tpch(spark, sf_dir, "documents", "doc_id", "text"))
     kept = F.coalesce(F.col("text"), F.lit(""))
@@ -64,7 +68,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {q.__name__: q for q in (
-    op1_mix_sources, op2_byte_bpe, op3_ngram_join, op4_embedding_dedup, op5_fingerprints, op7_line_dedup,
+    op1_mix_sources, op2_byte_bpe, op3_ngram_join, op4_embedding_dedup, op5_fingerprints, op6_suffix_dedup, op7_line_dedup,
     op8_chat_format, op9_url_filter, op10_language_id)}
 ORACLE = {"op1_mix_sources": mixing.ORACLE_SQL, "op7_line_dedup": lines.ORACLE_SQL,
           "op8_chat_format": chat.ORACLE_SQL, "op9_url_filter": urls.ORACLE_SQL}
