@@ -37,7 +37,7 @@ from ..session import share
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 BLOCK = 100_000          # matches handled at a time
-MAX_PIECES = 300_000     # encoded matches remembered by a task, in each of two generations
+MAX_PIECES = 250_000     # encoded matches remembered by a task, in each of two generations
 MAX_STATES = 200_000     # states remembered by a task
 LOOKAHEAD = 64           # bytes held back before certain tokens are looked for
 
@@ -154,25 +154,31 @@ class Transducer:
         if len(self.states) > self.max_states:
             self._forget()
         at, nxt = 0, self.next
+        last: list[int] = []     # last token of each prefix that is not emitted
+        if len(piece) <= LOOKAHEAD:
+            for byte in piece:
+                at, token = nxt.get(at << 8 | byte) or self._move(at, byte)
+                last.append(token)
+            return tuple(self._back(last))
         out: list[int] = []      # tokens that every alternative agrees on
-        last: list[int] = []     # last token of each prefix since then
         for byte in piece:
-            key = at << 8 | byte
-            got = nxt.get(key)
-            if got is None:
-                state, token = self._step(self.states[at], byte)
-                to = self.ids.get(state)
-                if to is None:
-                    to = self.ids[state] = len(self.states)
-                    self.states.append(state)
-                got = nxt[key] = to, token
-            at, token = got
+            at, token = nxt.get(at << 8 | byte) or self._move(at, byte)
             last.append(token)
             if len(last) >= LOOKAHEAD and len(self.states[at]) == 1:
                 out += self._back(last)
                 last = []
         return (*out, *self._back(last))
 
+    def _move(self, at: int, byte: int) -> tuple[int, int]:
+        """Makes a transition that is met for the first time."""
+        state, token = self._step(self.states[at], byte)
+        to = self.ids.get(state)
+        if to is None:
+            to = self.ids[state] = len(self.states)
+            self.states.append(state)
+        got = self.next[at << 8 | byte] = to, token
+        return got
+
     def _back(self, last: list[int]) -> list[int]:
         out, i, size = [], len(last), self.size
         while i:
@@ -270,8 +276,8 @@ def encode_texts(docs: DataFrame, model, with_ids: bool = False) -> DataFrame:
         m = model.value
         machine, _, _, decimal = _encoder(m)
         for b in batches:
-            for at in range(0, b.num_rows, 256):
-                part = b.slice(at, 256)
+            for at in range(0, b.num_rows, 64):
+                part = b.slice(at, 64)
                 n_tokens, ids_sha, text_sha, all_ids = [], [], [], []
                 for text in part.column("text").to_pylist():
                     n, said, back, utf8, ids = 0, hashlib.sha256(), hashlib.sha256(), Utf8Machine(), []
