@@ -36,22 +36,34 @@ def effective_class(initial, final, appealed, not_appealed: str = "No") -> Colum
 
 # Accepted date layouts: (shape, pattern).  The shape test picks the one
 # pattern to try, so a value is parsed once instead of failing through the
-# list (a failed parse is expensive).
+# list (a failed parse is expensive).  Pattern None: the ISO rules of a cast
+# (unpadded parts, T, fractions).
 DATE_LAYOUTS = (
-    (r"^\d{4}-\d{2}-\d{2}$", "yyyy-MM-dd"),
-    (r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}$", "yyyy-MM-dd HH:mm:ss"),
-    (r"^\d{2}/\d{2}/\d{4}$", "MM/dd/yyyy"),
+    (r"^\d{4}-\d{1,2}-\d{1,2}([ T]\d{1,2}:\d{1,2}(:\d{1,2}(\.\d+)?)?)?$", None),
+    (r"^\d{1,2}/\d{1,2}/\d{4}$", "M/d/yyyy"),
+    (r"^\d{1,2}/\d{1,2}/\d{4} \d{1,2}:\d{2}$", "M/d/yyyy H:mm"),
+    (r"^\d{1,2}/\d{1,2}/\d{4} \d{1,2}:\d{2}:\d{2}$", "M/d/yyyy H:mm:ss"),
+    (r"^\d{1,2}[- ][A-Za-z]{3}[- ]\d{4}$", "d MMM yyyy"),
+    (r"^[A-Za-z]{3} \d{1,2},? \d{4}$", "MMM d yyyy"),
+    (r"^[A-Za-z]{4,9} \d{1,2},? \d{4}$", "MMMM d yyyy"),
 )
 
 
 def parse_date(c, layouts: Sequence[tuple[str, str]] = DATE_LAYOUTS) -> Column:
-    """Parse text to a timestamp (no time zone); anything unparsable -> NULL."""
-    e = None
+    """Parse text to a timestamp (no time zone); anything unparsable -> NULL.
+    Outer white space is ignored; month names in any case, with or without a
+    comma or hyphens."""
+    e, text = None, F.trim(_c(c).cast("string"))
+    named = F.initcap(F.regexp_replace(text, "[-,]", " "))
+    named = F.regexp_replace(named, " +", " ")
     for shape, fmt in layouts:
-        cond = _c(c).rlike(shape)
-        val = F.try_to_timestamp(_c(c), F.lit(fmt))
+        cond = text.rlike(shape)
+        if fmt is None:
+            val = text.try_cast("timestamp_ntz")
+        else:
+            val = F.try_to_timestamp(named if "MMM" in fmt else text, F.lit(fmt)).cast("timestamp_ntz")
         e = F.when(cond, val) if e is None else e.when(cond, val)
-    return e.cast("timestamp_ntz")
+    return e
 
 
 def yes_no_flag(c, yes: str = "Yes", no: str = "No") -> Column:

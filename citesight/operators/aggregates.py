@@ -81,9 +81,10 @@ def crosstab(df: DataFrame, row: str, col: str, values: Sequence | None = None)
     return piv.na.fill(0)
 
 
-def crosstab_share(df: DataFrame, row: str, col: str, values: Sequence, top: int = 20) -> DataFrame:
+def crosstab_share(df: DataFrame, row: str, col: str, values: Sequence | None = None, top: int = 20) -> DataFrame:
     """Column-normalised cross-tab in percent, limited to the ``top`` rows by
-    row total of the percentages (ties by row key).
+    row total of the percentages (ties by row key), in that order.  Without
+    ``values`` the columns are the values found in the grouped counts.
 
     Stays in long form until the very end: counts -> percent within column
     (window over the grouped counts) -> row totals -> top rows (a bounded
@@ -94,9 +95,12 @@ def crosstab_share(df: DataFrame, row: str, col: str, values: Sequence, top: int
     pct = counts.withColumn(
         "pct", F.col("count") * F.lit(100.0) / F.sum("count").over(Window.partitionBy(col)))
     top_rows = (pct.groupBy(row).agg(F.sum("pct").alias("_total"))
-                .orderBy(F.desc("_total"), F.asc(row)).limit(top).select(row))
+                .orderBy(F.desc("_total"), F.asc(row)).limit(top))
+    if values is None:
+        values = [r[0] for r in counts.select(col).distinct().orderBy(col).collect()]
     kept = pct.join(F.broadcast(top_rows), row, "inner")
-    return kept.groupBy(row).pivot(col, list(values)).agg(F.first("pct")).na.fill(0.0)
+    wide = kept.groupBy(row, "_total").pivot(col, list(values)).agg(F.first("pct")).na.fill(0.0)
+    return wide.orderBy(F.desc("_total"), F.asc(row)).drop("_total")
 
 
 def table_report(df: DataFrame, key: str, approx: bool = False, rsd: float = 0.01) -> DataFrame:

@@ -47,11 +47,12 @@ def scalar(df: DataFrame, expr: Column) -> Column:
 
 def first_per_key(df: DataFrame, key: str | Sequence[str], order: Sequence[str],
                   cols: Sequence[str]) -> DataFrame:
-    """One row per key: the row that is smallest by ``order`` (ties broken by
-    the remaining columns).  ``min_by`` aggregates partially on the map side,
+    """One row per key: the row that is smallest by ``order``, nulls last (ties
+    broken by the remaining columns).  ``min_by`` aggregates partially on the map side,
     so a hot key never gathers its rows in one task."""
     keys = [key] if isinstance(key, str) else list(key)
-    ordering = F.struct(*[F.col(c) for c in order], *[F.col(c) for c in cols])
+    ordering = F.struct(*[x for i, c in enumerate([*order, *cols])
+                          for x in (F.col(c).isNull().alias(f"_n{i}"), F.col(c).alias(f"_v{i}"))])
     picked = F.min_by(F.struct(*[F.col(c) for c in cols]), ordering).alias("_first")
     return df.where(F.col(keys[0]).isNotNull()).groupBy(*keys).agg(picked).select(*keys, "_first.*")
 

@@ -50,9 +50,7 @@ def exact_quantile(df: DataFrame, col: str, q: float) -> float | None:
     # Many equal values can make the bracket large: split it at its midpoint
     # (one aggregate per step) and snap the kept half to actual values, until
     # it is small, holds a single value, or the two ranks straddle the split.
-    for _ in range(200):
-        if inside <= MAX_BRACKET:
-            break
+    while inside > MAX_BRACKET:
         if lo is None or hi is None:
             ext = x.agg(F.min("x").alias("a"), F.max("x").alias("b")).first()
             lo = ext["a"] if lo is None else lo
@@ -61,6 +59,15 @@ def exact_quantile(df: DataFrame, col: str, q: float) -> float | None:
         if lo == hi:
             return float(lo)
         mid = lo + (hi - lo) / 2.0
+        if mid <= lo:  # neighbouring doubles: take the smallest value out on its own
+            r = x.agg(F.count_if(F.col("x") == F.lit(lo)).alias("n"),
+                      F.min(F.when(F.col("x") > F.lit(lo), F.col("x"))).alias("next")).first()
+            if k1 < below + r["n"]:
+                return float(lo)
+            if k0 < below + r["n"]:
+                return lo + (r["next"] - lo) * frac
+            lo, below, inside = r["next"], below + r["n"], inside - r["n"]
+            continue
         in_lo = (F.col("x") >= F.lit(lo)) & (F.col("x") < F.lit(mid))
         in_hi = (F.col("x") >= F.lit(mid)) & (F.col("x") <= F.lit(hi))
         r = x.agg(F.count_if(in_lo).alias("n"), F.max(F.when(in_lo, F.col("x"))).alias("lmax"),

@@ -29,14 +29,19 @@ def allocate_quota(first: DataFrame, second: DataFrame, hit: Column, names: Sequ
 
 
 def top_k_strata(df: DataFrame, score: str, quotas: DataFrame, key: str,
-                 stratum: str = "stratum", max_k: int = 25) -> DataFrame:
+                 stratum: str = "stratum", max_k: int | None = None) -> DataFrame:
     """The ``quota`` smallest scores of each stratum (ties by key).
 
     The literal ``rn <= max_k`` filter lets Spark insert a partial
     ``WindowGroupLimit`` before the exchange, so each map task ships at most
     ``max_k`` rows per stratum however large the stratum is; the data-dependent
-    quota is applied afterwards through a two-row broadcast join.
+    quota is applied afterwards through a two-row broadcast join.  The bound is
+    the largest quota; a ``max_k`` below it is refused.
     """
+    largest = quotas.agg(F.max("quota")).first()[0] or 0
+    if max_k is not None and max_k < largest:
+        raise ValueError(f"max_k {max_k} is below the quota {largest}")
+    max_k = int(largest)
     w = Window.partitionBy(stratum).orderBy(F.col(score).asc_nulls_last(), F.col(key).asc())
     ranked = df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= max_k)
     q = F.broadcast(quotas.select(F.col("stratum").alias("_q_stratum"), F.col("quota").alias("_quota")))

@@ -276,14 +276,14 @@ def q_priority_features(spark, sf):
 def q_attach_first(spark, sf):
     m = _mart(spark, sf)
     prof = profile.facility_profile(pl.penalty_features(m, P).where(F.col("IS_HOSPITAL") == 1), P["hosp_profile"])
-    return joins.attach_first(prof.select("FACID", "total_penalties"), m, "FACID",
-                              ["PENALTY_NUMBER"], ["FACILITY_NAME", "DISTRICT_OFFICE"])
+    return joins.attach_first(prof.select("FACID", "total_penalties"), pl.valid_penalties(m, P), "FACID",
+                              pl.FIRST_ORDER, ["FACILITY_NAME", "DISTRICT_OFFICE"])
 
 
 @query("first_per_key")
 def q_first_per_key(spark, sf):
-    m = _mart(spark, sf)
-    return joins.first_per_key(m, "FACID", ["PENALTY_NUMBER"],
+    m = pl.valid_penalties(_mart(spark, sf), P)
+    return joins.first_per_key(m, "FACID", pl.FIRST_ORDER,
                                ["PENALTY_NUMBER", "EVENTID", "FACILITY_NAME", "DISTRICT_OFFICE", "PENALTY_TYPE"])
 
 
@@ -313,19 +313,15 @@ def q_class_by_type(spark, sf):
     return v.withColumn("percent", r6("percent"))
 
 
-PRIORITIES = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
-
-
 @query("crosstab")
 def q_crosstab(spark, sf):
-    return agg.crosstab(_mart(spark, sf), "DISTRICT_OFFICE", "PENALTY_TYPE", PRIORITIES)
+    return agg.crosstab(_mart(spark, sf), "DISTRICT_OFFICE", "PENALTY_TYPE")
 
 
 @query("crosstab_share")
 def q_crosstab_share(spark, sf):
-    c = agg.crosstab_share(_mart(spark, sf), "DISTRICT_OFFICE", "PENALTY_TYPE", PRIORITIES,
-                           presets.HEATMAP_TOP_ROWS)
-    return c.withColumns({v: r6(F.col(f"`{v}`")) for v in PRIORITIES})
+    c = agg.crosstab_share(_mart(spark, sf), "DISTRICT_OFFICE", "PENALTY_TYPE", top=presets.HEATMAP_TOP_ROWS)
+    return c.withColumns({v: r6(F.col(f"`{v}`")) for v in c.columns if v != "DISTRICT_OFFICE"})
 
 
 @query("group_size")
@@ -513,6 +509,6 @@ def q_attribution(spark, sf):
 @query("inspection_list")
 def q_inspection_list(spark, sf):
     m = _mart(spark, sf)
-    return pl.inspection_list(m, pl.score_facilities(m, P)).withColumns(
+    return pl.inspection_list(m, pl.score_facilities(m, P), preset=P).withColumns(
         {"anomaly_score": r6("anomaly_score"), "deaths_rate": r6("deaths_rate"),
          "balance_per_penalty": r6("balance_per_penalty"), "rank": big("rank")})

@@ -193,18 +193,19 @@ SELECT EVENTID, PENALTY_NUMBER, PRIORITY_ALL, CAST(HIGHEST_PRIORITY AS DOUBLE) A
 _FIRST = """
 firstrow AS (
   SELECT FACID, PENALTY_NUMBER, EVENTID, FACILITY_NAME, DISTRICT_OFFICE, PENALTY_TYPE FROM (
-    SELECT *, row_number() OVER (PARTITION BY FACID ORDER BY PENALTY_NUMBER, EVENTID, FACILITY_NAME,
-                                 DISTRICT_OFFICE, PENALTY_TYPE) AS rn
-    FROM mart WHERE FACID IS NOT NULL) WHERE rn = 1
+    SELECT *, row_number() OVER (PARTITION BY FACID ORDER BY PENALTY_ISSUE_DATE, PENALTY_NUMBER, EVENTID,
+                                 FACILITY_NAME, DISTRICT_OFFICE, PENALTY_TYPE) AS rn
+    FROM flagged WHERE FACID IS NOT NULL) WHERE rn = 1
 )"""
 
-ORACLE["first_per_key"] = BASE_MART + "," + _FIRST + "\nSELECT * FROM firstrow"
+ORACLE["first_per_key"] = BASE_FLAGGED + "," + _FIRST + "\nSELECT * FROM firstrow"
 
 ORACLE["attach_first"] = BASE_FLAGGED + "," + """
 firstinfo AS (
   SELECT FACID, FACILITY_NAME, DISTRICT_OFFICE FROM (
-    SELECT *, row_number() OVER (PARTITION BY FACID ORDER BY PENALTY_NUMBER, FACILITY_NAME, DISTRICT_OFFICE) AS rn
-    FROM mart WHERE FACID IS NOT NULL) WHERE rn = 1
+    SELECT *, row_number() OVER (PARTITION BY FACID ORDER BY PENALTY_ISSUE_DATE, PENALTY_NUMBER, EVENTID,
+      FACILITY_NAME, DISTRICT_OFFICE) AS rn
+    FROM flagged WHERE FACID IS NOT NULL) WHERE rn = 1
 )
 SELECT p.FACID, p.total_penalties, f.FACILITY_NAME, f.DISTRICT_OFFICE
 FROM (SELECT FACID, count(PENALTY_NUMBER) AS total_penalties FROM flagged

@@ -98,10 +98,18 @@ def standin_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
     return build_mart(enf, lk)
 
 
+#: A facility's first penalty: by date, number and event, nulls last.
+FIRST_ORDER = ["PENALTY_ISSUE_DATE", "PENALTY_NUMBER", "EVENTID"]
+
+
+def valid_penalties(mart: DataFrame, preset: Mapping) -> DataFrame:
+    """Penalties without those that were voided."""
+    return exclude_outcomes(mart, "CLASS_FINAL", preset["invalid_outcomes"])
+
+
 def penalty_features(mart: DataFrame, preset: Mapping) -> DataFrame:
     """Valid penalties with keyword flags."""
-    kept = exclude_outcomes(mart, "CLASS_FINAL", preset["invalid_outcomes"])
-    return keyword_flags(kept, "PENALTY_CATEGORY", preset["flags"])
+    return keyword_flags(valid_penalties(mart, preset), "PENALTY_CATEGORY", preset["flags"])
 
 
 def facility_table(flagged: DataFrame, preset: Mapping, hospital: bool, k: float = presets.EB_K,
@@ -176,10 +184,11 @@ def score_facilities(mart: DataFrame, preset: Mapping = presets.HEALTH, n_trees:
     return out
 
 
-def inspection_list(mart: DataFrame, scored: Mapping, slots: int = presets.INSPECTION_SLOTS) -> DataFrame:
+def inspection_list(mart: DataFrame, scored: Mapping, slots: int = presets.INSPECTION_SLOTS,
+                    preset: Mapping = presets.HEALTH) -> DataFrame:
     """The inspection list: slots split over strata by flagged counts, the
     lowest anomaly scores of each stratum, ranked, with facility name and
-    district attached."""
+    district of the first valid penalty attached."""
     from ..operators.joins import first_per_key
     from ..operators.selection import allocate_quota, top_k_strata, union_strata
     from ..operators.windows import with_rank
@@ -190,11 +199,11 @@ def inspection_list(mart: DataFrame, scored: Mapping, slots: int = presets.INSPE
     cols = ["FACID", "anomaly_score", "total_penalties", "deaths_rate", "balance_per_penalty"]
     both = union_strata(hs.select(*cols).withColumn("stratum", F.lit(presets.STRATUM_HOSPITAL)),
                         ls.select(*cols).withColumn("stratum", F.lit(presets.STRATUM_LTC)))
-    top = top_k_strata(both, "anomaly_score", quotas, "FACID", max_k=slots)
+    top = top_k_strata(both, "anomaly_score", quotas, "FACID")
     ranked = with_rank(top, [F.col("anomaly_score"), F.col("FACID")])
     # at most `slots` keys: broadcast them to cut the mart down before de-duplicating
-    wanted = mart.join(F.broadcast(ranked.select("FACID")), "FACID", "left_semi")
-    info = first_per_key(wanted, "FACID", ["PENALTY_NUMBER"], ["FACILITY_NAME", "DISTRICT_OFFICE"])
+    wanted = valid_penalties(mart, preset).join(F.broadcast(ranked.select("FACID")), "FACID", "left_semi")
+    info = first_per_key(wanted, "FACID", FIRST_ORDER, ["FACILITY_NAME", "DISTRICT_OFFICE"])
     return (ranked.join(info, "FACID", "left")
             .select("rank", "stratum", "FACID", "FACILITY_NAME", "DISTRICT_OFFICE", "anomaly_score",
                     "total_penalties", "deaths_rate", "balance_per_penalty"))
@@ -226,11 +235,12 @@ def run_pipeline(spark: SparkSession, enforcement: DataFrame, lookup: DataFrame,
     mart = load_mart(spark, f"{out_dir}/enriched_mart")
     out = {"enriched_mart": mart}
     if narratives is not None:
-        nc = clean_narratives(narratives)
-        kw = top_keywords(nc, tfidf(nc, "PENALTY_NUMBER", "NARRATIVE_CLEAN"), "PENALTY_NUMBER")
-        write_table(nc.drop("NARRATIVE").join(kw, "PENALTY_NUMBER", "left"), f"{out_dir}/narratives")
+        # penalty numbers repeat and can be NULL: the rows get an id of their own, written once
+        nc = materialize(clean_narratives(narratives).withColumn("_DOC", F.monotonically_increasing_id()))
+        kw = top_keywords(nc, tfidf(nc, "_DOC", "NARRATIVE_CLEAN"), "_DOC")
+        write_table(nc.drop("NARRATIVE").join(kw, "_DOC", "left").drop("_DOC"), f"{out_dir}/narratives")
     scored = score_facilities(mart, preset)
-    sel = inspection_list(mart, scored)
+    sel = inspection_list(mart, scored, preset=preset)
     write_table(sel, f"{out_dir}/inspection_list")
     write_table(attribution(scored), f"{out_dir}/attribution")
     out["inspection_list"] = spark.read.parquet(f"{out_dir}/inspection_list")

@@ -65,6 +65,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if not current and sc is not None:
         current = sc.getCheckpointDir()
     if not current:
+        if sc is not None and not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         current = tempfile.mkdtemp(prefix="citesight-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
         spark.conf.set("spark.checkpoint.dir", current)
     if sc is not None and sc.getCheckpointDir() is None:
@@ -84,7 +86,7 @@ def share(spark: SparkSession, value):
     return sc.broadcast(value) if sc is not None else _Held(value)
 
 
-def materialize(df, how: str | None = None):
+def materialize(df, how: str = "parquet"):
     """Cut the lineage of ``df`` by writing it to the shared folder named by
     ``spark.checkpoint.dir`` and reading it back.
 
@@ -97,15 +99,27 @@ def materialize(df, how: str | None = None):
     """
     import uuid
     spark = df.sparkSession
-    root = ensure_checkpoint_dir(spark)
-    how = how or os.environ.get("CITESIGHT_MATERIALIZE", "parquet")
+    ensure_checkpoint_dir(spark)
     if how == "checkpoint":
         return df.checkpoint(eager=True)
-    path = f"{root.rstrip('/')}/tables/{uuid.uuid4().hex}"
+    path = f"{_tables(spark)}/{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
 
 
+def drop_materialized(spark: SparkSession) -> None:
+    """Delete the tables that ``materialize`` has written for this application;
+    call it when no result that reads them is needed any more."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{_tables(spark)}")
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def _tables(spark: SparkSession) -> str:
+    sc = _context(spark)
+    app = sc.applicationId if sc is not None else "connect"
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/tables/{app}"
+
+
 _SHIPPED: set[str] = set()
 
 
