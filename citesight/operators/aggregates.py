@@ -125,7 +125,8 @@ def log_histogram(df: DataFrame, col: str, bins: int = 50) -> DataFrame:
     """Histogram of log10(x) over positive x with ``bins`` equal-width bins
     between the smallest and the largest value (the top edge closes the
     last bin).  Only non-empty bins are returned."""
-    x = df.where(F.col(col) > 0).select(F.log10(F.col(col).cast("double")).alias("x"))
+    from ..session import materialize
+    x = materialize(df.where(F.col(col) > 0).select(F.log10(F.col(col).cast("double")).alias("x")))  # read twice
     ext = x.agg(F.min("x").alias("lo"), F.max("x").alias("hi")).first()
     lo, hi = F.lit(ext["lo"]).cast("double"), F.lit(ext["hi"]).cast("double")
     width = (hi - lo) / F.lit(float(bins))
@@ -154,12 +155,3 @@ def rate_by_group(df: DataFrame, key: str, cond: Column, total_name: str = "tota
     rate = F.col(hit_name) * F.lit(100.0) / F.col(total_name)
     return (g.withColumn(rate_name, rate)
             .withColumn("label", count_label(F.col(hit_name), F.col(rate_name))))
-
-
-def exact_median(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """One-row frame of exact medians (NULLs ignored)."""
-    return df.agg(*[F.median(c).alias(c) for c in cols])
-
-
-def safe_rate(num, den) -> Column:
-    return safe_div(num, den)

@@ -221,7 +221,7 @@ class IsolationForest:
         self.seed = seed
 
     def fit(self, df: DataFrame, features: Sequence[str], key: str) -> IsolationForestModel:
-        from ..session import ship_package
+        from ..session import materialize, ship_package
         ship_package(df.sparkSession)
         feats = list(features)
         data = df.select(key, *[F.col(c).cast("double").alias(c) for c in feats])
@@ -230,7 +230,7 @@ class IsolationForest:
         max_depth = int(math.ceil(math.log2(max(psi, 2))))
         share = min(1.0, 3.0 * psi / max(n, 1))
         while True:
-            cands = self._candidates(data, key, share)
+            cands = materialize(self._candidates(data, key, share))  # counted, then fitted
             if share >= 1.0:
                 break
             per_tree = cands.groupBy("_tree").count()

@@ -380,7 +380,8 @@ def q_event_gaps(spark, sf):
 
 @query("gap_by_group")
 def q_gap_by_group(spark, sf):
-    m = _mart(spark, sf)
+    # one narrow copy of the mart, read by the gaps and by the groups
+    m = materialize(_mart(spark, sf).select("FACID", "EVENTID", "PENALTY_ISSUE_DATE", "IS_HOSPITAL"))
     g = windows.event_gaps(m, "FACID", "EVENTID", "PENALTY_ISSUE_DATE")
     groups = m.select("FACID", "IS_HOSPITAL").distinct()
     s = windows.gap_summary(g.join(groups, "FACID", "left"), "IS_HOSPITAL")
@@ -438,7 +439,7 @@ def q_flow_edges(spark, sf):
 def q_impute_scale(spark, sf):
     t = _fac(spark, sf, hospital=False, checkpoint=True)
     feats = P["ltc_features"]
-    s = profile.standard_scale(profile.impute_median(t.select("FACID", *feats), feats), feats)
+    s = profile.impute_and_scale(t.select("FACID", *feats), feats)
     return s.select("FACID", *[r6(c).alias(c) for c in feats])
 
 
@@ -503,12 +504,13 @@ def q_iforest_score(spark, sf):
 
 @query("attribution")
 def q_attribution(spark, sf):
-    return pl.attribution(_scored(spark, sf)).withColumn("mean_abs", r6("mean_abs"))
+    fitted = pl.score_facilities(_mart(spark, sf), P, score=False)
+    return pl.attribution(fitted).withColumn("mean_abs", r6("mean_abs"))
 
 
 @query("inspection_list")
 def q_inspection_list(spark, sf):
-    m = _mart(spark, sf)
+    m = materialize(_mart(spark, sf))  # read by the profiles and by the attached names
     return pl.inspection_list(m, pl.score_facilities(m, P), preset=P).withColumns(
         {"anomaly_score": r6("anomaly_score"), "deaths_rate": r6("deaths_rate"),
          "balance_per_penalty": r6("balance_per_penalty"), "rank": big("rank")})

@@ -144,8 +144,8 @@ def prepare_features(fac: DataFrame, features) -> DataFrame:
 
 
 def score_stratum(fac: DataFrame, features, contamination: float, n_trees: int = presets.N_TREES,
-                  seed: int = presets.RANDOM_STATE, key: str = "FACID"):
-    """Fit the forest on one stratum and score it.  Returns
+                  seed: int = presets.RANDOM_STATE, key: str = "FACID", score: bool = True):
+    """Fit the forest on one stratum and, unless told not to, score it.  Returns
     ``(scored, model, prepared)``.  The prepared features are checkpointed
     (fit and score both read them); the scores are checkpointed inside
     ``score`` before the threshold is found."""
@@ -153,7 +153,7 @@ def score_stratum(fac: DataFrame, features, contamination: float, n_trees: int =
     prepared = materialize(prepare_features(fac, features))
     zc = [Z + c for c in features]
     model = IsolationForest(n_trees=n_trees, max_samples=256, seed=seed).fit(prepared, zc, key)
-    scored = model.score(prepared, contamination)
+    scored = model.score(prepared, contamination) if score else None
     return scored, model, prepared
 
 
@@ -172,15 +172,16 @@ def strata_tables(flagged: DataFrame, preset: Mapping, k: float = presets.EB_K)
 
 
 def score_facilities(mart: DataFrame, preset: Mapping = presets.HEALTH, n_trees: int = presets.N_TREES,
-                     seed: int = presets.RANDOM_STATE):
-    """Both strata scored: ``{stratum: (scored, model, prepared)}``."""
+                     seed: int = presets.RANDOM_STATE, score: bool = True):
+    """Both strata scored: ``{stratum: (scored, model, prepared)}``; without
+    ``score`` only the model and its features (all that attribution needs)."""
     flagged = penalty_features(mart, preset)
     h, lt = strata_tables(flagged, preset)
     out = {}
     for fac, name, feats, contam in [
             (h, presets.STRATUM_HOSPITAL, preset["hosp_features"], presets.HOSP_CONTAMINATION),
             (lt, presets.STRATUM_LTC, preset["ltc_features"], presets.LTC_CONTAMINATION)]:
-        out[name] = score_stratum(fac, feats, contam, n_trees, seed)
+        out[name] = score_stratum(fac, feats, contam, n_trees, seed, score=score)
     return out
 
 
