@@ -7,7 +7,7 @@ scoring and the reports read it back.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -250,18 +250,23 @@ def run_pipeline(spark: SparkSession, enforcement: DataFrame, lookup: DataFrame,
 
 
 def read_inputs(spark: SparkSession, enforcement: str, lookup: str, narratives: str | None = None,
-                fmt: str = "csv", narratives_encoding: str = "ISO-8859-1"):
+                fmt: str = "csv", narratives_encoding: str = "ISO-8859-1",
+                required: Sequence[str] = ("FACID",)):
     """Read the three raw inputs with declared schemas.
 
     Headers are normalised (strip + upper) before the schema is applied, so
     exports with ``" facid "``-style headers load.  Narratives are delimited
-    Latin-1 text with quoted multi-line fields."""
+    Latin-1 text with quoted multi-line fields.  A ``required`` column of an
+    input's schema must be there; any other missing one is NULL."""
     from ..operators.filters import standardize_columns
     from ..sources import schemas
     from ..sources.tables import read_table
 
     def typed(df, schema):
         df = standardize_columns(df)
+        missing = [c for c in required if c in schema.fieldNames() and c not in df.columns]
+        if missing:
+            raise ValueError(f"missing columns: {', '.join(missing)}")
         return df.select(*[F.col(f.name).try_cast(f.dataType).alias(f.name) if f.name in df.columns
                            else F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields])
 

@@ -51,3 +51,12 @@ def test_written_tables_can_be_dropped(spark):
     session.drop_materialized(spark)
     with pytest.raises(Exception):
         spark.read.parquet(df.inputFiles()[0])
+
+
+def test_missing_input_column_is_an_error(spark, tmp_path):
+    from citesight.plans.pipelines import read_inputs
+    p = str(tmp_path / "t.csv")
+    with open(p, "w") as f:
+        f.write("FACID,NOT_A_COLUMN\n1,2\n")
+    with pytest.raises(ValueError, match="missing columns"):
+        read_inputs(spark, p, p, required=("FACID", "PENALTY_NUMBER"))
