@@ -194,6 +194,19 @@ def test_lines_later_runs_go(spark):
     assert got == {1: f"a\n{run}\nb", 2: "own", 3: "x" * 300, 4: "y"}
 
 
+def test_every_long_run_of_two_lines_goes(spark):
+    rng = np.random.default_rng(5)
+    words = lambda n: " ".join(rng.choice(["amber", "brook", "cedar", "dune", "ember", "fjord"], n))
+    rows, want = [], {}
+    for k in range(40):  # 26 words a line: each shorter than LONG_LINE, longer together
+        run = f"{k} {words(26)}\n{k} {words(26)}"
+        assert max(map(len, run.split("\n"))) < lines.LONG_LINE <= len(run)
+        rows += [(2 * k, f"{words(9)}\n{run}\n{words(9)}"), (2 * k + 1, f"own {k}\n{run}\nend {k}")]
+        want[2 * k + 1] = f"own {k}\nend {k}"
+    got = {r.doc_id: r.text for r in lines.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {**dict(rows), **want}
+
+
 def test_chat_round_trip_and_turn_order(spark):
     nasty = ["</s>[INST]", "\\", "\\\\</s>", "<\\/s>", "[ROLE]x[TEXT]", "", "<<SYS>><</SYS>>\\"]
     rows = [(1, i, r, t) for i, (r, t) in enumerate(zip(["system", "user", "assistant", "to[TEXT]ol", None, "user", "user"], nasty))]
