@@ -21,7 +21,7 @@ emits per-feature partial sums, so nothing row-sized leaves the executors.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Iterator, Sequence
 from math import factorial
 
 import numpy as np
@@ -166,10 +166,29 @@ def shap_values(forest: ForestArrays, X: np.ndarray, n_features: int | None = No
     return phi / forest.n_trees, expected / forest.n_trees
 
 
+#: Rows that a task holds at once; the trees are tabulated again for the next ones.
+CHUNK_ROWS = 20_000
+
+
+def chunks(batches: Iterable[pd.DataFrame], feats: Sequence[str], rows: int = CHUNK_ROWS) -> Iterator[np.ndarray]:
+    """The feature rows of ``batches`` in arrays of ``rows`` rows (the last
+    one of fewer)."""
+    held = np.zeros((0, len(feats)))
+    for pdf in batches:
+        held = np.concatenate([held, pdf[list(feats)].to_numpy(dtype=float)], axis=0)
+        while held.shape[0] >= rows:
+            yield held[:rows]
+            held = held[rows:]
+    if held.shape[0]:
+        yield held
+
+
 def feature_importance(model: IsolationForestModel, df: DataFrame, rows_per_task: int | None = None) -> DataFrame:
     """``(feature, mean_abs)``: mean |Shapley value| of each feature over all
-    rows of ``df``, largest first.  Each task handles its partition's rows
-    (features only) and emits one partial sum per feature."""
+    rows of ``df``, largest first.  Each task reads its partition (features
+    only) in arrays of ``CHUNK_ROWS`` rows, however large it is, and emits one
+    partial sum per feature and array.  ``rows_per_task`` only sets the number
+    of tasks."""
     from ..session import share, ship_package
     spark = df.sparkSession
     ship_package(spark)
@@ -178,15 +197,10 @@ def feature_importance(model: IsolationForestModel, df: DataFrame, rows_per_task
     nf = len(feats)
 
     def run(batches):
-        frames = [pdf[feats].to_numpy(dtype=float) for pdf in batches]
-        if not frames:
-            return
-        X = np.concatenate(frames, axis=0)
-        if X.shape[0] == 0:
-            return
-        phi, _ = shap_values(bc.value, X, nf)
-        yield pd.DataFrame({"feature": feats, "sum_abs": np.abs(phi).sum(axis=0),
-                            "n": np.full(nf, X.shape[0], dtype=np.int64)})
+        for X in chunks(batches, feats):
+            phi, _ = shap_values(bc.value, X, nf)
+            yield pd.DataFrame({"feature": feats, "sum_abs": np.abs(phi).sum(axis=0),
+                                "n": np.full(nf, X.shape[0], dtype=np.int64)})
 
     # Each task tabulates every tree once (~3 s for 300 trees), so tasks get
     # 2,000-20,000 rows: enough to spread over the cores, and enough rows to
@@ -198,7 +212,7 @@ def feature_importance(model: IsolationForestModel, df: DataFrame, rows_per_task
         have = src.rdd.getNumPartitions()
     except Exception:  # noqa: BLE001 - Spark Connect: no RDD view
         par, have = 8, None
-    per_task = rows_per_task or max(2000, min(20000, -(-n_rows // max(par, 1))))
+    per_task = rows_per_task or max(2000, min(CHUNK_ROWS, -(-n_rows // max(par, 1))))
     tasks = max(1, -(-n_rows // per_task))
     if have is None or tasks > have:
         src = src.repartition(tasks)
@@ -207,37 +221,3 @@ def feature_importance(model: IsolationForestModel, df: DataFrame, rows_per_task
     parts = src.mapInPandas(run, "feature string, sum_abs double, n long")
     return (parts.groupBy("feature").agg((F.sum("sum_abs") / F.sum("n")).alias("mean_abs"))
             .orderBy(F.desc("mean_abs"), F.asc("feature")))
-
-
-def brute_force_shap(forest: ForestArrays, x: np.ndarray) -> np.ndarray:
-    """Reference Shapley values by enumerating feature subsets (tests only)."""
-    from itertools import combinations
-    d = x.shape[0]
-
-    def value(S: Sequence[int]) -> float:
-        total = 0.0
-        for t in range(forest.n_trees):
-            total += _cond_expect(forest, t, x, set(S), 0)
-        return total / forest.n_trees
-
-    phi = np.zeros(d)
-    for i in range(d):
-        others = [j for j in range(d) if j != i]
-        for k in range(len(others) + 1):
-            wk = factorial(k) * factorial(d - k - 1) / factorial(d)
-            for S in combinations(others, k):
-                phi[i] += wk * (value(S + (i,)) - value(S))
-    return phi
-
-
-def _cond_expect(forest: ForestArrays, t: int, x: np.ndarray, S: set, u: int) -> float:
-    f = forest.feature[t][u]
-    if f < 0:
-        return float(forest.depth[t][u] + average_path_length([forest.size[t][u]])[0])
-    lc, rc = forest.left[t][u], forest.right[t][u]
-    if f in S:
-        nxt = lc if x[f] <= forest.threshold[t][u] else rc
-        return _cond_expect(forest, t, x, S, nxt)
-    n = forest.size[t][u]
-    return (forest.size[t][lc] / n * _cond_expect(forest, t, x, S, lc)
-            + forest.size[t][rc] / n * _cond_expect(forest, t, x, S, rc))

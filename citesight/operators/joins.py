@@ -7,19 +7,26 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# A dimension is broadcast only after a bounded count has shown it is small.
+# A dimension is broadcast only after a bounded scan has shown it is small.
 DEFAULT_BROADCAST_ROWS = 100_000
+DEFAULT_BROADCAST_BYTES = 16 << 20
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast hint behind a size check.
+def is_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
+             max_bytes: int = DEFAULT_BROADCAST_BYTES) -> bool:
+    """Whether ``df`` has at most ``max_rows`` rows and ``max_bytes`` bytes (of
+    its rows as JSON: free text counts by its length).  Reading stops after
+    ``max_rows + 1`` rows, so the check is cheap even on a large input."""
+    width = F.octet_length(F.to_json(F.struct("*")))
+    n, size = df.limit(max_rows + 1).select(width.alias("w")).agg(F.count(F.lit(1)), F.sum("w")).first()
+    return n <= max_rows and (size or 0) <= max_bytes
 
-    ``limit(max_rows + 1).count()`` stops reading after ``max_rows + 1`` rows, so
-    the check itself is cheap even on a large input.  A larger side is left to
-    the planner (shuffle join, or AQE's own runtime broadcast decision).
-    """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+
+def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
+                       max_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
+    """Broadcast hint behind a size check.  A larger side is left to the
+    planner (shuffle join, or AQE's own runtime broadcast decision)."""
+    return F.broadcast(df) if is_small(df, max_rows, max_bytes) else df
 
 
 def lookup(df: DataFrame, small: DataFrame, on: str | Sequence[str], how: str = "left",

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.codes import node_category, transition_category
@@ -33,6 +33,17 @@ def district_map(mart: DataFrame, coords: DataFrame, district: str, serious: Seq
                                      F.col("total_actions").cast("double")), 1).alias("serious_rate"))
 
 
+def district_coordinates(spark: SparkSession, coords: Mapping[str, tuple[float, float]]) -> DataFrame:
+    """Look-up table of district offices, ``DISTRICT_OFFICE, lat, lon``."""
+    rows = [(name, lat, lon) for name, (lat, lon) in coords.items()]
+    return spark.createDataFrame(rows, "DISTRICT_OFFICE string, lat double, lon double")
+
+
+def map_points(districts: DataFrame) -> DataFrame:
+    """The districts that can be drawn: those with coordinates."""
+    return districts.where(F.col("lat").isNotNull() & F.col("lon").isNotNull())
+
+
 def transitions(mart: DataFrame, start: str, end: str, keep: Sequence[str],
                 min_count: int = 3) -> DataFrame:
     """Class transitions start -> end that changed, from the listed start

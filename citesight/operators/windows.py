@@ -62,7 +62,8 @@ def event_gaps(df: DataFrame, key: str, event: str, date: str, partitions: int |
 
 
 def gap_summary(gaps: DataFrame, by: str | None = None) -> DataFrame:
-    """Mean and median gap overall, or per group ``by``."""
+    """Mean and median gap overall, or per group ``by``.  Gaps are whole days,
+    so a median's buffer holds one entry per distinct number of days."""
     g = gaps.where(F.col("days_to_prev").isNotNull())
     aggs = [F.count(F.lit(1)).alias("n_gaps"),
             F.avg("days_to_prev").alias("mean_days"),
@@ -70,3 +71,11 @@ def gap_summary(gaps: DataFrame, by: str | None = None) -> DataFrame:
     if by is None:
         return g.agg(*aggs)
     return g.where(F.col(by).isNotNull()).groupBy(by).agg(*aggs)
+
+
+def gap_report(df: DataFrame, key: str, event: str, date: str, group: str) -> tuple[DataFrame, DataFrame]:
+    """``(overall, by_group)`` gap summaries; a facility with rows in several
+    groups counts in each.  ``df`` is read twice: pass a stored table."""
+    gaps = event_gaps(df, key, event, date)
+    groups = df.select(key, group).distinct()
+    return gap_summary(gaps), gap_summary(gaps.join(groups, key, "left"), group)

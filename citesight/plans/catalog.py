@@ -337,8 +337,9 @@ def q_district_stats(spark, sf):
 
 @query("district_geo")
 def q_district_geo(spark, sf):
-    from ..operators.reports import district_map
-    d = district_map(_mart(spark, sf), standin.coordinates(spark, sf), "DISTRICT_OFFICE", P["serious_classes"])
+    from ..operators.reports import district_map, map_points
+    d = map_points(district_map(_mart(spark, sf), standin.coordinates(spark, sf), "DISTRICT_OFFICE",
+                                P["serious_classes"]))
     return d.withColumns({"total_balance": money("total_balance"), "size_scaled": r6("size_scaled"),
                           "lat": r6("lat"), "lon": r6("lon")})
 
@@ -382,11 +383,16 @@ def q_event_gaps(spark, sf):
 def q_gap_by_group(spark, sf):
     # one narrow copy of the mart, read by the gaps and by the groups
     m = materialize(_mart(spark, sf).select("FACID", "EVENTID", "PENALTY_ISSUE_DATE", "IS_HOSPITAL"))
-    g = windows.event_gaps(m, "FACID", "EVENTID", "PENALTY_ISSUE_DATE")
-    groups = m.select("FACID", "IS_HOSPITAL").distinct()
-    s = windows.gap_summary(g.join(groups, "FACID", "left"), "IS_HOSPITAL")
-    return s.withColumns({"IS_HOSPITAL": big("IS_HOSPITAL"), "mean_days": r6("mean_days"),
-                          "median_days": r6("median_days")})
+    _, by_group = windows.gap_report(m, "FACID", "EVENTID", "PENALTY_ISSUE_DATE", "IS_HOSPITAL")
+    return by_group.withColumns({"IS_HOSPITAL": big("IS_HOSPITAL"), "mean_days": r6("mean_days"),
+                                 "median_days": r6("median_days")})
+
+
+@query("gap_overall")
+def q_gap_overall(spark, sf):
+    m = materialize(_mart(spark, sf).select("FACID", "EVENTID", "PENALTY_ISSUE_DATE", "IS_HOSPITAL"))
+    overall, _ = windows.gap_report(m, "FACID", "EVENTID", "PENALTY_ISSUE_DATE", "IS_HOSPITAL")
+    return overall.withColumns({"mean_days": r6("mean_days"), "median_days": r6("median_days")})
 
 
 @query("union_strata")

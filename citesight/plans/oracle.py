@@ -277,7 +277,8 @@ shares AS (
     round_even(d.serious_citations * 100.0 / nullif(d.total_actions, 0), 1) AS serious_rate
   FROM dstats d LEFT JOIN coords c ON d.DISTRICT_OFFICE = c.DISTRICT_OFFICE
 )
-SELECT *, round(pow(sqrt(citation_share_pct), 2.5), 6) AS size_scaled FROM shares"""
+SELECT *, round(pow(sqrt(citation_share_pct), 2.5), 6) AS size_scaled FROM shares
+WHERE lat IS NOT NULL AND lon IS NOT NULL"""
 
 ORACLE["table_report"] = BASE_MART + """
 SELECT count(*) AS row_count, count(DISTINCT FACID) AS distinct_keys FROM mart"""
@@ -324,6 +325,10 @@ SELECT CAST(g2.IS_HOSPITAL AS BIGINT) AS IS_HOSPITAL, count(*) AS n_gaps, round(
 FROM gaps g LEFT JOIN (SELECT DISTINCT FACID, IS_HOSPITAL FROM mart) g2 ON g.FACID = g2.FACID
 WHERE days_to_prev IS NOT NULL AND g2.IS_HOSPITAL IS NOT NULL GROUP BY 1"""
 
+ORACLE["gap_overall"] = BASE_MART + "," + _GAPS + """
+SELECT count(*) AS n_gaps, round(avg(days_to_prev), 6) AS mean_days, round(median(days_to_prev), 6) AS median_days
+FROM gaps WHERE days_to_prev IS NOT NULL"""
+
 ORACLE["union_strata"] = BASE_FLAGGED + f"""
 SELECT 'Hospital' AS stratum, FACID, count(PENALTY_NUMBER) AS total_penalties,
   CAST(count(*) FILTER (WHERE CLASS_FINAL IN {in_list(dict(P['hosp_profile']['classes'])['ap_ij'])}) AS DOUBLE) AS total_ap_ij,

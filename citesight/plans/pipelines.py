@@ -16,7 +16,8 @@ from .. import presets
 from ..functions import (clean_text, collapse_ws, effective_class, highest_priority, parse_date,
                          recode, strip_tabs, title_case, token_count, utrim, yes_no_flag)
 from ..operators.filters import drop_values, exclude_outcomes, flag_where, keyword_flags
-from ..operators.joins import enrich_mart
+from ..operators.aggregates import table_report
+from ..operators.joins import enrich_mart, is_small
 from ..operators.profile import add_rates, eb_smooth, facility_profile, profile_columns, rate_name
 from ..session import materialize
 from ..sources import standin
@@ -84,11 +85,8 @@ def dims(lookup_clean: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def build_mart(enf_clean: DataFrame, lookup_clean: DataFrame) -> DataFrame:
     """The 26-column enriched mart."""
-    from ..operators.joins import DEFAULT_BROADCAST_ROWS
-    dim_fac, dim_class = dims(lookup_clean)
-    # one bounded count of the lookup proves both dims small
-    small = lookup_clean.limit(DEFAULT_BROADCAST_ROWS + 1).count() <= DEFAULT_BROADCAST_ROWS
-    return enrich_mart(enf_clean, dim_fac, dim_class, dims_small=small)
+    # one bounded scan of the lookup proves both dims small
+    return enrich_mart(enf_clean, *dims(lookup_clean), dims_small=is_small(lookup_clean))
 
 
 def standin_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -224,28 +222,43 @@ def attribution(scored: Mapping) -> DataFrame:
     return out
 
 
+#: Columns of the stored narrative table.
+NARRATIVE_TABLE = ["FACID", "FACILITY_NAME", "PENALTY_NUMBER", "CLASS_ASSESSED_INITIAL", "PENALTY_ISSUE_DATE",
+                   "EVENTID", "TOP_KEYWORDS"]
+
+
 def run_pipeline(spark: SparkSession, enforcement: DataFrame, lookup: DataFrame, narratives: DataFrame | None,
                  out_dir: str, preset: Mapping = presets.HEALTH) -> dict[str, DataFrame]:
-    """Whole run in one application: clean, build and store the mart, score,
-    select, explain.  Tables are written as Parquet under ``out_dir``."""
+    """Whole run in one application: clean, store the star schema (fact, two
+    dims, narratives with keywords, enriched mart), validate, score, select,
+    explain.  Tables are written as Parquet under ``out_dir`` and returned as
+    read back, with ``validation`` (row and facility counts of the mart) and
+    ``preview`` (three of its rows)."""
     from ..operators.keywords import tfidf, top_keywords
     from ..sources.tables import load_mart, write_table
-    enf = clean_enforcement(enforcement, preset)
-    lk = clean_lookup(lookup)
-    write_table(build_mart(enf, lk), f"{out_dir}/enriched_mart")
-    mart = load_mart(spark, f"{out_dir}/enriched_mart")
-    out = {"enriched_mart": mart}
+    out = {}
+
+    def store(name: str, df: DataFrame) -> DataFrame:
+        write_table(df, f"{out_dir}/{name}")
+        out[name] = load_mart(spark, f"{out_dir}/{name}")
+        return out[name]
+
+    fact = store("fact_enforcement_actions", clean_enforcement(enforcement, preset))
+    lk = materialize(clean_lookup(lookup))
+    dim_fac, dim_class = dims(lk)
+    dim_fac, dim_class = store("dim_fac_code", dim_fac), store("dim_class_final", dim_class)
+    mart = store("enriched_mart", enrich_mart(fact, dim_fac, dim_class, dims_small=is_small(lk)))
+    out["validation"] = table_report(mart, "FACID")
+    out["preview"] = mart.limit(3)
     if narratives is not None:
         # penalty numbers repeat and can be NULL: the rows get an id of their own, written once
         nc = materialize(clean_narratives(narratives).withColumn("_DOC", F.monotonically_increasing_id()))
         kw = top_keywords(nc, tfidf(nc, "_DOC", "NARRATIVE_CLEAN"), "_DOC")
-        write_table(nc.drop("NARRATIVE").join(kw, "_DOC", "left").drop("_DOC"), f"{out_dir}/narratives")
+        store("fact_ltc_narratives", nc.join(kw, "_DOC", "left").select(*NARRATIVE_TABLE))
     scored = score_facilities(mart, preset)
     sel = inspection_list(mart, scored, preset=preset)
-    write_table(sel, f"{out_dir}/inspection_list")
-    write_table(attribution(scored), f"{out_dir}/attribution")
-    out["inspection_list"] = spark.read.parquet(f"{out_dir}/inspection_list")
-    out["attribution"] = spark.read.parquet(f"{out_dir}/attribution")
+    store("inspection_list", sel)
+    store("attribution", attribution(scored))
     return out
 
 

@@ -158,6 +158,8 @@ def raw_narratives(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lower("source"), F.lit("'s "), F.col("lang"), F.lit(" 3rd st.")).alias("FACILITY_NAME"),
         F.concat(F.lit(" "), did.cast("string")).alias("PENALTY_NUMBER"),
         F.lit("A").alias("CLASS_ASSESSED_INITIAL"),
+        F.concat((did % 12 + 1).cast("string"), F.lit("/"), (did % 28 + 1).cast("string"), F.lit("/2020"))
+        .alias("PENALTY_ISSUE_DATE"),
         did.cast("string").alias("EVENTID"),
         F.concat(codes, F.col("text"), F.lit(" CH"), (did % 50).cast("string")).alias("NARRATIVE"),
     )

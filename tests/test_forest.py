@@ -1,10 +1,13 @@
 """Isolation forest and attribution properties (no oracle possible)."""
 
+from itertools import combinations
+from math import factorial
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
 
-from citesight.operators.attribution import brute_force_shap, shap_values
+from citesight.operators.attribution import chunks, shap_values
 from citesight.operators.forest import ForestArrays, IsolationForest, average_path_length, grow_tree
 
 
@@ -63,9 +66,50 @@ def _small_forest():
     return ForestArrays.from_nodes(pd.concat(rows), 32, 5), X
 
 
+def brute_force_shap(forest: ForestArrays, x: np.ndarray) -> np.ndarray:
+    """Reference Shapley values by enumerating feature subsets."""
+    d = x.shape[0]
+
+    def value(S: tuple[int, ...]) -> float:
+        total = 0.0
+        for t in range(forest.n_trees):
+            total += _cond_expect(forest, t, x, set(S), 0)
+        return total / forest.n_trees
+
+    phi = np.zeros(d)
+    for i in range(d):
+        others = [j for j in range(d) if j != i]
+        for k in range(len(others) + 1):
+            wk = factorial(k) * factorial(d - k - 1) / factorial(d)
+            for S in combinations(others, k):
+                phi[i] += wk * (value(S + (i,)) - value(S))
+    return phi
+
+
+def _cond_expect(forest: ForestArrays, t: int, x: np.ndarray, S: set, u: int) -> float:
+    f = forest.feature[t][u]
+    if f < 0:
+        return float(forest.depth[t][u] + average_path_length([forest.size[t][u]])[0])
+    lc, rc = forest.left[t][u], forest.right[t][u]
+    if f in S:
+        nxt = lc if x[f] <= forest.threshold[t][u] else rc
+        return _cond_expect(forest, t, x, S, nxt)
+    n = forest.size[t][u]
+    return (forest.size[t][lc] / n * _cond_expect(forest, t, x, S, lc)
+            + forest.size[t][rc] / n * _cond_expect(forest, t, x, S, rc))
+
+
 def test_shap_additivity_and_brute_force():
     forest, X = _small_forest()
     phi, ev = shap_values(forest, X[:8], 4)
     assert np.allclose(phi.sum(axis=1) + ev, forest.path_length(X[:8]))
     for r in range(3):
         assert np.allclose(brute_force_shap(forest, X[r]), phi[r])
+
+
+def test_attribution_reads_partitions_in_bounded_arrays():
+    parts = [pd.DataFrame({"a": np.arange(n, dtype=float), "b": 0.0}) for n in (3, 0, 25, 1)]
+    got = list(chunks(iter(parts), ["a", "b"], rows=10))
+    assert [len(x) for x in got] == [10, 10, 9]
+    assert np.concatenate(got)[:, 0].tolist() == [v for p in parts for v in p["a"]]
+    assert list(chunks(iter([]), ["a", "b"])) == []

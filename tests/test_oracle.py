@@ -8,10 +8,11 @@ import duckdb
 import pytest
 
 import __spark_entry__ as e
+from citesight.plans.catalog import QUERIES
+from citesight.plans.oracle import ORACLE
 from conftest import SF_SMALL
 
-FAST_KEYS = ["enriched_mart", "profile_hosp", "eb_smooth", "value_share", "crosstab_share", "district_geo",
-             "flow_edges", "clean_text", "tfidf", "top_keywords", "priority_features", "event_gaps"]
+KEYS = sorted(k for k in ORACLE if k in QUERIES)
 
 
 def _norm(v):
@@ -41,7 +42,7 @@ def con():
     return c
 
 
-@pytest.mark.parametrize("key", FAST_KEYS)
+@pytest.mark.parametrize("key", KEYS)
 def test_query_matches_oracle(spark, con, key):
     got = e.queries()[key](spark, SF_SMALL).toPandas()
     want = con.execute(e.oracle_sql()[key]).df()

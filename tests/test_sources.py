@@ -37,8 +37,14 @@ def test_run_pipeline(spark, tmp_path):
     assert 0 < len(sel) <= presets.INSPECTION_SLOTS
     imp = out["attribution"].collect()
     assert {r.stratum for r in imp} == {presets.STRATUM_HOSPITAL, presets.STRATUM_LTC}
-    kw = spark.read.parquet(str(tmp_path / "out" / "narratives"))
-    assert "TOP_KEYWORDS" in kw.columns and "NARRATIVE" not in kw.columns
+    assert out["fact_ltc_narratives"].columns == pl.NARRATIVE_TABLE
+    assert out["fact_ltc_narratives"].count() == narr.count()
+    v = out["validation"].first()
+    assert v.row_count == out["fact_enforcement_actions"].count() and v.distinct_keys > 0
+    assert out["preview"].count() == 3
+    assert out["dim_fac_code"].columns == ["VARIABLE", "VALUE", "DESCRIPTION", "DEFINITION", "IS_24HR",
+                                           "IS_HOSPITAL", "IS_LOW_RESOURCE"]
+    assert out["dim_class_final"].columns == ["VARIABLE", "VALUE", "DESCRIPTION"]
 
 
 def test_read_inputs_from_csv_exports(spark, tmp_path):
