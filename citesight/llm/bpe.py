@@ -38,6 +38,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 BLOCK = 100_000          # matches handled at a time
 MAX_PIECES = 250_000     # encoded matches remembered by a task, in each of two generations
+SEEN = 1 << 21           # slots that tell whether a match was met before; only those are remembered
 MAX_STATES = 200_000     # states remembered by a task
 LOOKAHEAD = 64           # bytes held back before certain tokens are looked for
 
@@ -74,7 +75,7 @@ class Transducer:
         self._forget()
 
     def _forget(self) -> None:
-        start = ((-1, 0),)
+        start = (0,)  # an alternative is one number: (token before + 1) << 32 | place in the trie
         self.ids, self.states, self.next = {start: 0}, [start], {}
 
     def merge(self, piece: bytes) -> list[int]:
@@ -135,16 +136,16 @@ class Transducer:
     def _step(self, state: tuple, byte: int) -> tuple[tuple, int]:
         """The next state, and the last token of the text up to here."""
         out, last = [], -1
-        for prev, node in state:
-            nxt = self.children[node].get(byte)
+        for alternative in state:
+            prev, nxt = (alternative >> 32) - 1, self.children[alternative & 0xFFFFFFFF].get(byte)
             if nxt is None:
                 continue
             t = self.token[nxt]
             if t >= 0 and last < 0 and self._follows(prev, t):
                 last = t
             if self.children[nxt]:
-                out.append((prev, nxt))
-        out.append((last, 0))
+                out.append(prev + 1 << 32 | nxt)
+        out.append(last + 1 << 32)
         return tuple(out), last
 
     def encode(self, piece: bytes) -> tuple[int, ...]:
@@ -236,8 +237,8 @@ def _encoder(model: dict) -> tuple:
     tasks of the same worker find its states."""
     if "machine" not in model:
         import regex
-        machine = Transducer(model["ranks"])
-        model["machine"] = machine, regex.compile(model["pattern"]), [{}, {}], {i: str(i) for i in machine.vocab}
+        machine = Transducer(model["ranks"], model.get("states", MAX_STATES))
+        model["machine"] = machine, regex.compile(model["pattern"]), [{}, {}, bytearray(SEEN)], {i: str(i) for i in machine.vocab}
     return model["machine"]
 
 
@@ -250,18 +251,30 @@ def encode_blocks(text: str, model: dict) -> Iterator[list[int]]:
         found = (m[0] for m in pattern.finditer(text))
         blocks = iter(lambda: list(islice(found, BLOCK)), [])
     for block in blocks:
-        known, older = remembered
-        if len(known) > MAX_PIECES:
-            known, older = remembered[:] = {}, known
+        known, older, seen = remembered
+        if len(known) > model.get("pieces", MAX_PIECES):
+            known, older, seen = remembered[:] = {}, known, bytearray(SEEN)
+        once = []  # most matches that are met once are never met again
         for p in set(block).difference(known):
-            known[p] = older.get(p) or machine.encode(p.encode("utf-8"))
-        yield list(chain.from_iterable(map(known.__getitem__, block)))
-
-
-def load(spark, path: str, pattern: str):
+            got = older.get(p)
+            if got is None:
+                got = machine.encode(p.encode("utf-8"))
+                slot = hash(p) % SEEN
+                if not seen[slot]:
+                    seen[slot] = 1
+                    once.append(p)
+            known[p] = got
+        ids = list(chain.from_iterable(map(known.__getitem__, block)))
+        for p in once:
+            del known[p]
+        yield ids
+
+
+def load(spark, path: str, pattern: str, max_pieces: int = MAX_PIECES, max_states: int = MAX_STATES):
     """The vocabulary, read once by the driver and broadcast (its size is
-    fixed by the file)."""
-    return share(spark, {"ranks": read_ranks(path), "pattern": pattern})
+    fixed by the file).  ``max_pieces`` and ``max_states`` bound what a task
+    remembers: memory against time, with no effect on results."""
+    return share(spark, {"ranks": read_ranks(path), "pattern": pattern, "pieces": max_pieces, "states": max_states})
 
 
 def encode_texts(docs: DataFrame, model, with_ids: bool = False) -> DataFrame:
@@ -273,6 +286,7 @@ def encode_texts(docs: DataFrame, model, with_ids: bool = False) -> DataFrame:
     keep = [c for c in docs.columns if c != "text"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pa.default_memory_pool().release_unused()  # what earlier stages left in this worker
         m = model.value
         machine, _, _, decimal = _encoder(m)
         for b in batches:

@@ -44,7 +44,9 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def byte_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     import public_tokenizers
-    model = bpe.load(spark, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    # the same executors ran the stages before: less is remembered than by default
+    model = bpe.load(spark, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN,
+                     max_pieces=100_000, max_states=60_000)
     return bpe.encode_texts(docs.select("doc_id", "text", "lang", "source"), model, with_ids=True)
 
 
