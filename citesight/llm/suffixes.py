@@ -28,7 +28,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialize
@@ -39,8 +39,8 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 LENGTH = 400
 GRAM = 16
 PIECE = 1 << 20        # bytes hashed at a time
-HOT = 1000             # places of a class, above which it is parted further
-PART = 25              # offsets of a part
+HOT = 1000             # places of a class, above which its strings are counted by digest
+PART = 25              # strings of a context in such a class
 SORT_BYTES = 1 << 20   # contexts sorted together
 _BASE, _SEED = 0x9E3779B97F4A7C15 | 1, np.uint64(0xC2B2AE3D27D4EB4F)
 
@@ -206,18 +206,75 @@ def _runs(mask: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
 
 
-def contexts(raw: bytes, places: list[dict], powers: _Powers, length: int = LENGTH) -> Iterator[tuple]:
-    """``(key, start, strings, bytes)`` of the places of one text."""
+def contexts(raw: bytes, places: list[dict], length: int = LENGTH) -> Iterator[tuple]:
+    """``(key, start, strings, bytes)`` of the places of one text in classes that are not hot."""
     for x in places:
-        first, last, a = x["p0"], x["p1"], x["a"]
         if not x["hot"]:
-            yield x["key"], first, last - first + 1, raw[first:last + length]
-            continue
-        for at in range(first - (first - a) % PART, last + 1, PART):  # offsets from the anchor, equal in all places
-            lo, hi = max(first, at), min(last, at + PART - 1)
-            shared = hashlib.blake2b(raw[at + PART - 1:at + length], digest_size=8, person=b"part",
-                                     key=x["key"].to_bytes(8, "little", signed=True) + (at - a + (1 << 30)).to_bytes(8, "little"))
-            yield int.from_bytes(shared.digest(), "little", signed=True), lo, hi - lo + 1, raw[lo:hi + length]
+            yield x["key"], x["p0"], x["p1"] - x["p0"] + 1, raw[x["p0"]:x["p1"] + length]
+
+
+def hot_parts(places: list[dict]) -> list[tuple[int, int]]:
+    """``(start, strings)`` of the contexts of one text in hot classes; their
+    offsets from the anchor are equal in all places."""
+    out = []
+    for x in places:
+        if x["hot"]:
+            first, last = x["p0"], x["p1"]
+            for at in range(first - (first - x["a"]) % PART, last + 1, PART):
+                lo = max(first, at)
+                out.append((lo, min(last, at + PART - 1) - lo + 1))
+    return out
+
+
+def digests(raw: bytes, parts: list[tuple[int, int]], length: int = LENGTH) -> np.ndarray:
+    """128-bit digests (two columns) of the contexts (start, strings) of one text."""
+    found = b"".join(hashlib.blake2b(raw[p:p + n - 1 + length], digest_size=16).digest() for p, n in parts)
+    return np.frombuffer(found, dtype=np.int64).reshape(-1, 2)
+
+
+def hot_spans(shared: DataFrame, length: int = LENGTH) -> DataFrame:
+    """``rid, start, end`` of the strings of hot classes that are met twice."""
+    def digested(texts: DataFrame, of: str, parts) -> DataFrame:
+        """``rid, p, n, d1, d2`` of the contexts that ``parts`` makes of the column ``of``."""
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                for at in range(0, b.num_rows, 64):
+                    part = b.slice(at, 64)
+                    rid, cut, found = [], [], [np.zeros((0, 2), dtype=np.int64)]
+                    for r, t, x in zip(*(part.column(c).to_pylist() for c in ("rid", "text", of))):
+                        own = parts(x)
+                        rid += [r] * len(own)
+                        cut += own
+                        found.append(digests(t.encode(), own, length))
+                    d = np.concatenate(found)
+                    yield pa.RecordBatch.from_pydict({
+                        "rid": pa.array(rid, pa.int64()), "p": pa.array([p for p, _ in cut], pa.int64()),
+                        "n": pa.array([n for _, n in cut], pa.int64()), "d1": d[:, 0].copy(), "d2": d[:, 1].copy()})
+
+        return materialize(texts.mapInArrow(run, "rid long, p long, n long, d1 long, d2 long"))
+
+    hot = shared.where(F.exists("places", lambda x: x["hot"]))
+    around = digested(hot, "places", hot_parts)
+    kinds = materialize(around.groupBy("d1", "d2").agg(
+        F.count(F.lit(1)).alias("times"), F.min(F.struct("rid", "p", "n")).alias("one")))
+    whole = around.join(kinds.where("times > 1").select("d1", "d2"), ["d1", "d2"]).select(
+        "rid", F.col("p").alias("start"), (F.col("p") + F.col("n") - 1 + length).alias("end"))
+    ones = kinds.groupBy(F.col("one.rid").alias("rid")).agg(F.collect_list(F.struct("one.p", "one.n")).alias("parts"))
+    strings = digested(hot.dropDuplicates(["rid"]).join(ones.hint("shuffle_hash"), "rid").select("rid", "text", "parts"), "parts",
+                       lambda parts: [(x["p"] + i, 1) for x in parts for i in range(x["n"])])
+    twice = materialize(strings.groupBy("d1", "d2").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("d1", "d2"))
+    # one bit a start, then runs of bits: not a span for each string
+    bit = F.expr("shiftleft(1L, cast(p % 64 as int))")
+    words = strings.join(twice, ["d1", "d2"]).groupBy("rid", F.expr("p div 64").alias("at")).agg(F.bit_or(bit).alias("bits"))
+
+    def edges(inside: int) -> Column:
+        """Bits that are set where the one before (-1) or after (1) isn't."""
+        return F.filter(F.sequence(F.lit(0), F.lit(63)), lambda i: (F.getbit("bits", i) == 1) & (
+            (i == (0 if inside < 0 else 63)) | (F.getbit("bits", F.pmod(i + inside, F.lit(64))) == 0)))
+
+    runs = words.select("rid", "at", F.explode(F.arrays_zip(edges(-1).alias("a"), edges(1).alias("z"))).alias("r"))
+    return whole.unionByName(runs.select("rid", (F.col("at") * 64 + F.col("r.a")).alias("start"),
+                                         (F.col("at") * 64 + F.col("r.z") + length).alias("end")))
 
 
 def repeated_spans(texts: DataFrame, length: int = LENGTH) -> tuple[DataFrame, DataFrame]:
@@ -245,13 +302,12 @@ def repeated_spans(texts: DataFrame, length: int = LENGTH) -> tuple[DataFrame, D
     shared = materialize(texts.join(places.hint("shuffle_hash"), "rid"))
 
     def surround(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        powers = _Powers()
         for b in batches:
             for at in range(0, b.num_rows, 64):
                 part = b.slice(at, 64)
                 out = {"rid": [], "key": [], "p0": [], "n": [], "ctx": []}
                 for r, t, found in zip(*(part.column(c).to_pylist() for c in ("rid", "text", "places"))):
-                    for key, p0, n, ctx in contexts(t.encode(), found, powers, length):
+                    for key, p0, n, ctx in contexts(t.encode(), found, length):
                         for c, x in zip(out.values(), (r, key, p0, n, ctx)):
                             c.append(x)
                 yield pa.RecordBatch.from_pydict({k: pa.array(v, pa.binary() if k == "ctx" else pa.int64()) for k, v in out.items()})
@@ -290,7 +346,7 @@ def repeated_spans(texts: DataFrame, length: int = LENGTH) -> tuple[DataFrame, D
     hits = materialize(by_class.mapInArrow(sort, "key long, ch long, n long, s long, e long"))
     spans = around.select("rid", "key", "ch", "n", "p0").join(hits, ["key", "ch", "n"]).select(
         "rid", (F.col("p0") + F.col("s")).alias("start"), (F.col("p0") + F.col("e") + (length - 1)).alias("end"))
-    return shared.select("rid", "text"), spans
+    return shared.select("rid", "text"), spans.unionByName(hot_spans(shared, length))
 
 
 def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
