@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.tables import tpch
-from . import bpe, chat, embeddings, fingerprints, langid, lines, mixing, shingles, suffixes, urls
+from . import bpe, chat, embeddings, fingerprints, langid, lines, mixing, pieces, shingles, suffixes, urls
 
 
 def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -68,8 +68,17 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "held_out", "lang_pred", "score", "accepted")
 
 
+def op13_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+    model = pieces.load(spark, public_tokenizers.path("piece_bpe_32k.model"))
+    out = pieces.encode_texts(tpch(spark, sf_dir, "documents", "doc_id", "text"), model)
+    return out.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
+                      F.sha2(F.encode("decoded", "UTF-8"), 256).alias("decoded_sha256"),
+                      F.sha2(F.concat("starts", "ends"), 256).alias("spans_sha256"))
+
+
 QUERIES = {q.__name__: q for q in (
     op1_mix_sources, op2_byte_bpe, op3_ngram_join, op4_embedding_dedup, op5_fingerprints, op6_suffix_dedup, op7_line_dedup,
-    op8_chat_format, op9_url_filter, op10_language_id)}
+    op8_chat_format, op9_url_filter, op10_language_id, op13_sentence_pieces)}
 ORACLE = {"op1_mix_sources": mixing.ORACLE_SQL, "op7_line_dedup": lines.ORACLE_SQL,
           "op8_chat_format": chat.ORACLE_SQL, "op9_url_filter": urls.ORACLE_SQL}
