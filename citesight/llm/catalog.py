@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.tables import tpch
-from . import bpe, chat, collocations, embeddings, fingerprints, langid, lines, mixing, pieces, shingles, suffixes, urls
+from . import bpe, chat, collocations, embeddings, fingerprints, langid, lines, mixing, pieces, shingles, spelling, suffixes, urls
 
 
 def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -72,6 +72,11 @@ def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(tpch(spark, sf_dir, "documents", "text", "lang"))
 
 
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    words = spelling.corpus_words(tpch(spark, sf_dir, "documents", "doc_id", "text"))
+    return spelling.group_variants(spelling.vocabulary(words))
+
+
 def op13_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
     model = pieces.load(spark, public_tokenizers.path("piece_bpe_32k.model"))
@@ -83,7 +88,7 @@ def op13_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {q.__name__: q for q in (
     op1_mix_sources, op2_byte_bpe, op3_ngram_join, op4_embedding_dedup, op5_fingerprints, op6_suffix_dedup, op7_line_dedup,
-    op8_chat_format, op9_url_filter, op10_language_id, op11_collocations, op13_sentence_pieces)}
+    op8_chat_format, op9_url_filter, op10_language_id, op11_collocations, op12_spelling_variants, op13_sentence_pieces)}
 ORACLE = {"op1_mix_sources": mixing.ORACLE_SQL, "op7_line_dedup": lines.ORACLE_SQL,
           "op8_chat_format": chat.ORACLE_SQL, "op9_url_filter": urls.ORACLE_SQL,
-          "op11_collocations": collocations.ORACLE_SQL}
+          "op11_collocations": collocations.ORACLE_SQL, "op12_spelling_variants": spelling.ORACLE_SQL}
