@@ -25,8 +25,10 @@ import heapq
 import re
 import struct
 import sys
+import unicodedata
 from collections.abc import Iterable, Iterator
-from itertools import islice
+from itertools import islice, repeat
+from operator import add
 
 import numpy as np
 import pyarrow as pa
@@ -41,7 +43,7 @@ SPACE = "▁"
 #: ModelProto.SentencePiece.Type (fixed values of the model format)
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 BLOCK = 200_000        # parts handled at a time
-MAX_PARTS = 200_000    # encoded parts remembered by a task, in each of two generations (memory only)
+MAX_PARTS = 400_000    # encoded parts remembered by a task, in each of two generations (memory only)
 SHORT = 48             # up to so many characters a part is merged by scanning, beyond with a heap
 
 
@@ -129,17 +131,29 @@ class Model:
         if not hasattr(self, "cut"):
             space = SPACE if self.escape else " "
             joined = {c for pair in self.inside for c in pair}
-            alone = "".join(re.escape(chr(c)) for c in range(128) if chr(c) not in joined and chr(c) != space)
-            lead = re.escape(space)
-            if any(pair[1] == space and pair[0] != space for pair in self.inside):
-                self.cut = re.compile(f"[^{alone}]+|[{alone}]" if alone else ".+", re.S)  # pieces reach across spaces
+            alone = {c for c in map(chr, range(128)) if c not in joined and c != space}
+            # marks that no piece joins to anything but other marks and spaces: words are cut from them
+            marks, left = {c for c in joined if unicodedata.category(c)[0] not in "LM" and c != space}, True
+            while left:
+                left = {c for x, y in self.inside for c, d in ((x, y), (y, x)) if c in marks and d not in marks and d != space}
+                marks -= left
+            lead, alone, marks = re.escape(space), _class(alone), _class(marks)
+            kinds = [f"[^{lead}{marks}{alone}]+", f"[{marks}]+" if marks else ""]
+            if any(pair[1] == space and pair[0] != space for pair in self.inside):  # pieces reach across spaces
+                kinds = [f"[^{alone}]+" if alone else ".+"]
             else:
-                self.cut = re.compile(f"{lead}*[^{lead}{alone}]+|{lead}+" + (f"|[{alone}]" if alone else ""), re.S)
+                kinds = [f"{lead}*{k}" for k in kinds if k] + [f"{lead}+"]
+            self.cut = re.compile("|".join(kinds + [f"[{alone}]"] * bool(alone)), re.S)
             self.map = CharMap(self.charsmap) if self.charsmap else None
             self.surface = [b"" if k == CONTROL else self.unk_surface.encode() if k == UNKNOWN
                             else bytes([int(p[3:5], 16)]) if k == BYTE else p.replace(SPACE, " ").encode()
                             for p, k in zip(self.pieces, self.kinds)]
             self.control = np.array(self.kinds) == CONTROL
+            self.width = np.array([len(p.encode()) for p in self.pieces])
+            if self.bytes is not None:
+                self.width[self.bytes] = 1
+                self.byte = np.full(len(self.pieces), -1)
+                self.byte[self.bytes] = np.arange(256)
             self.memory: list[dict] = [{}, {}]
         return self
 
@@ -228,18 +242,19 @@ class Model:
         rank, none = self.rank, len(self.rank)
         parts = list(part)
         if len(parts) <= SHORT:
-            ranks = [rank.get(a + b, none) for a, b in zip(parts, parts[1:])]
+            get = rank.get
+            ranks = list(map(get, map(add, parts, parts[1:]), repeat(none)))
             while ranks:
                 best = min(ranks)
                 if best == none:
                     break
                 i = ranks.index(best)
-                parts[i:i + 2] = [parts[i] + parts[i + 1]]
-                del ranks[i]
+                whole = parts[i] = parts[i] + parts[i + 1]
+                del parts[i + 1], ranks[i]
                 if i:
-                    ranks[i - 1] = rank.get(parts[i - 1] + parts[i], none)
+                    ranks[i - 1] = get(parts[i - 1] + whole, none)
                 if i < len(ranks):
-                    ranks[i] = rank.get(parts[i] + parts[i + 1], none)
+                    ranks[i] = get(whole + parts[i + 1], none)
             return parts
         after, before = list(range(1, len(parts) + 1)), list(range(-1, len(parts) - 1))
         heap = [(r, i, parts[i] + parts[i + 1]) for i in range(len(parts) - 1)
@@ -261,38 +276,42 @@ class Model:
                 heapq.heappush(heap, (r, h, parts[h] + whole))
         return [p for p in parts if p]
 
-    def _encode_part(self, part: str) -> tuple[bytes, bytes]:
-        """Packed ids and lengths in normalised bytes of one part."""
-        inside, at, ids, sizes = self.inside, 0, [], []
-        known = self.memory[0]
-        bounds = [i for i in range(1, len(part)) if part[i - 1:i + 1] not in inside] + [len(part)]
-        for end in bounds:
-            piece = part[at:end]
-            at = end
-            got = known.get(piece) if len(bounds) > 1 else None
-            if got is not None:
-                ids += np.frombuffer(got[0], "<u4").tolist()
-                sizes += np.frombuffer(got[1], "<u4").tolist()
-                continue
-            for p in self._merge(piece):
-                i = self.ids.get(p, self.unk)
-                raw = p.encode()
-                if i != self.unk:
-                    ids.append(i)
-                    sizes.append(len(raw))
-                elif self.bytes is not None:
-                    ids += [self.bytes[b] for b in raw]
-                    sizes += [0] * (len(raw) - 1) + [len(raw)]
-                else:
-                    ids.append(i)
-                    sizes.append(len(raw))
-        return struct.pack(f"<{len(ids)}I", *ids), struct.pack(f"<{len(sizes)}I", *sizes)
+    def _encode_part(self, part: str) -> bytes:
+        """Packed ids of one part; an unknown character, if there are no byte
+        pieces, as its code point above the ids."""
+        if len(part) <= SHORT:
+            merged = self._merge(part)
+        else:
+            bounds = [0, *(i for i in range(1, len(part)) if part[i - 1:i + 1] not in self.inside), len(part)]
+            merged = [p for a, b in zip(bounds, bounds[1:]) for p in self._merge(part[a:b])]
+        ids = list(map(self.ids.get, merged))
+        if None in ids:
+            ids = [i for p, i in zip(merged, ids) for i in
+                   ([i] if i is not None else [len(self.pieces) + ord(p)] if self.bytes is None
+                    else [self.bytes[b] for b in p.encode()])]
+        return struct.pack(f"<{len(ids)}I", *ids)
+
+    def _sizes(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids and the length of each in normalised bytes."""
+        if self.bytes is None:  # neighbouring unknown characters are one piece
+            point = ids.astype(np.int64) - len(self.pieces)
+            size = np.where(point < 0, self.width[np.minimum(ids, len(self.pieces) - 1)],
+                            1 + (point >= 0x80) + (point >= 0x800) + (point >= 0x10000))
+            first = np.flatnonzero((point < 0) | np.concatenate([[True], point[:-1] < 0])[:len(point)])
+            return np.where(point < 0, ids, self.unk)[first].astype("<u4"), np.add.reduceat(size, first) if len(first) else size
+        size, byte = self.width[ids], self.byte[ids]
+        for low, more in ((0xC0, 1), (0xE0, 2), (0xF0, 3)):  # the last piece of a character stands for all its bytes
+            at = np.flatnonzero((byte >= low) & (byte < low + (0x100 - low) // 2))
+            for k in range(more):
+                size[at + k] = 0
+            size[at + more] = more + 1
+        return ids, size
 
     def encode(self, text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Ids with begin and end ids, and the byte span of each in ``text``."""
         self.prepare()
         normal, places = self.normalise(text)
-        ids, sizes = [], []
+        ids = []
         if len(normal) <= 4 * BLOCK:
             blocks = iter([self.cut.findall(normal)])
         else:
@@ -304,21 +323,13 @@ class Model:
                 known, older = self.memory[:] = {}, known
             for p in set(block).difference(known):
                 known[p] = older.get(p) or self._encode_part(p)
-            got = list(map(known.__getitem__, block))
-            ids.append(b"".join([g[0] for g in got]))
-            sizes.append(b"".join([g[1] for g in got]))
-        out = np.frombuffer(b"".join(ids), "<u4")
-        size = np.frombuffer(b"".join(sizes), "<u4").astype(np.int64)
-        if self.bytes is None and len(out):  # neighbouring unknown characters are one piece
-            first = ~((out == self.unk) & (np.concatenate([[self.bos], out[:-1]]) == self.unk))
-            size = np.add.reduceat(size, np.flatnonzero(first))
-            out = out[first]
+            ids.append(b"".join(map(known.__getitem__, block)))
+        out, size = self._sizes(np.frombuffer(b"".join(ids), "<u4"))
         upto = np.cumsum(size)
         starts, ends = places[upto - size], places[upto]
-        # the first pieces of a character in byte pieces end where they start
-        last = places[-1] if len(places) else 0
+        last = places[-1:]
         return (np.concatenate([[self.bos], out, [self.eos]]).astype("<u4"),
-                np.concatenate([[0], starts, [last]]).astype("<i4"), np.concatenate([[0], ends, [last]]).astype("<i4"))
+                np.concatenate([[0], starts, last]).astype("<i4"), np.concatenate([[0], ends, last]).astype("<i4"))
 
     # -- decoding --------------------------------------------------------------
     def decode(self, ids: Iterable[int]) -> str:
@@ -350,6 +361,11 @@ class Model:
             return "".join([raw.decode("utf-8", "stray") for raw in out])
 
 
+def _class(chars: set[str]) -> str:
+    """The characters for use inside a regular expression's brackets."""
+    return "".join(map(re.escape, sorted(chars)))
+
+
 def _stray(error: UnicodeDecodeError) -> tuple[str, int]:
     return "�", error.start + 1
 
