@@ -9,13 +9,13 @@ intervals to the left and to the right in turn; the size of an interval is the
 phrase's count.  Counts are summed across shards.
 
 Most phrases are rare, so a first pass sums the words and the pairs of
-neighbouring words in ``2 ** BUCKET_BITS`` hash buckets.  Where a bucket's sum
-is below the least count, none of its phrases can reach it, and the index
-leaves the pair out: it splits the text there.  A longer phrase can only be as
-frequent as all its pairs are.  Sums are never too small, so no phrase is lost;
-more data than buckets means only that less is left out.  The buckets' bits
-are the one thing sent to all tasks: at most ``2 ** BUCKET_BITS / 8`` bytes,
-whatever the input.
+neighbouring words in hash buckets.  Where a bucket's sum is below the least
+count, none of its phrases can reach it, and the index leaves the pair out: it
+splits the text there.  A longer phrase can only be as frequent as all its
+pairs are.  Sums are never too small, so no phrase is lost.  There are about
+half as many buckets as words, up to ``2 ** MAX_BUCKET_BITS``; more data means
+only that less is left out.  The buckets' bits are the one thing sent to all
+tasks: at most ``2 ** MAX_BUCKET_BITS / 8`` bytes, whatever the input.
 
 A phrase is scored at its weakest cut, by integers alone.  ``collocations``
 states the rules.
@@ -41,7 +41,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import materialize, share
-from .common import text_or_empty
+from .common import shuffle_partitions, text_or_empty
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -52,8 +52,8 @@ TOP = 2_000
 SCALE = 1_000_000
 SHARD_BYTES = 8 << 20    # text indexed at a time
 HELD_BYTES = 32 << 20    # text a task holds for all languages together
-BUCKET_BITS = 27
-SLICE_BITS = 20          # bits of the bucket table made by one group
+MIN_BUCKET_BITS, MAX_BUCKET_BITS = 16, 29  # of the table that all tasks get: 64 MB at most
+SLICE_BITS = 18          # buckets counted by one group
 
 _CLASS = np.zeros(256, np.uint8)          # 0 part of a word, 1 between words, 2 between pieces
 _CLASS[[0x20, 0x09]] = 1
@@ -206,40 +206,69 @@ class FmIndex:
             yield text, size
 
 
-def _bucket_sums(most: int, held: int, bits: int):
+def _pack(bucket: np.ndarray, n: np.ndarray) -> bytes:
+    """Rising bucket numbers and their small counts: gaps byte by byte, lowest
+    bytes first, so that what follows compresses."""
+    gaps = np.diff(bucket, prepend=0).astype("<u4")
+    return gaps.view(np.uint8).reshape(-1, 4).T.tobytes() + n.astype(np.uint8).tobytes()
+
+
+def _unpack(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    planes = np.frombuffer(data, np.uint8).reshape(5, -1)
+    gaps = np.ascontiguousarray(planes[:4].T).view("<u4").ravel()
+    return np.cumsum(gaps, dtype=np.int64), planes[4]
+
+
+def _bucket_sums(most: int, held: int, bits: int, enough: int):
+    """For each shard and slice of the buckets, the counts of its words and
+    pairs, none above ``enough``."""
+    low = min(bits, SLICE_BITS)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for lang, text, carried in shards(batches, most, held, 1):
             ids, words, brk = numbered(text)
             if not len(ids):
                 continue
             h = _hashes(lang, words)
-            single = np.bincount(ids[carried:], minlength=len(words) + 1)
-            pair, n = np.unique(_pairs(h, ids, bits)[~brk[1:-1]], return_counts=True)
-            yield pa.RecordBatch.from_pydict({"bucket": np.concatenate([_bucket(h[1:], bits), pair]),
-                                              "n": np.concatenate([single[1:], n]).astype(np.int64)})
+            single = np.repeat(_bucket(h[1:], bits), np.minimum(np.bincount(ids[carried:], minlength=len(h))[1:], enough))
+            bucket, n = np.unique(np.concatenate([single, _pairs(h, ids, bits)[~brk[1:-1]]]), return_counts=True)
+            n = np.minimum(n, enough)
+            cuts = np.searchsorted(bucket, np.arange((1 << bits - low) + 1) << low)
+            full = np.flatnonzero(np.diff(cuts))
+            yield pa.RecordBatch.from_pydict({"part": full, "sums": pa.array(
+                [_pack(bucket[cuts[k]:cuts[k + 1]] - (int(k) << low), n[cuts[k]:cuts[k + 1]]) for k in full], pa.binary())})
     return run
 
 
-def _bits(bits: int):
+def _bits(bits: int, enough: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         made: dict[int, np.ndarray] = {}
         for b in batches:
-            bucket = b.column("bucket").to_numpy()
-            for part in np.unique(bucket >> SLICE_BITS):
-                table = made.setdefault(int(part), np.zeros(1 << min(bits, SLICE_BITS), bool))
-                table[bucket[bucket >> SLICE_BITS == part] & (1 << SLICE_BITS) - 1] = True
+            for part, data in zip(b.column("part").to_pylist(), b.column("sums")):
+                at, n = _unpack(data.as_py())
+                table = made.get(part)
+                if table is None:
+                    table = made[part] = np.zeros(1 << min(bits, SLICE_BITS), np.uint16)
+                table[at] = np.minimum(table[at] + n, enough)
         for part, table in made.items():
-            yield pa.RecordBatch.from_pydict({"part": [part], "bits": [np.packbits(table).tobytes()]})
+            yield pa.RecordBatch.from_pydict({"part": [part], "bits": [np.packbits(table >= enough).tobytes()]})
     return run
 
 
+def bucket_bits(docs: DataFrame) -> int:
+    """As many buckets as about two to four words, within bounds."""
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    return min(MAX_BUCKET_BITS, max(MIN_BUCKET_BITS, (size // 16).bit_length()))
+
+
 def frequent_buckets(docs: DataFrame, min_count: int, bits: int) -> np.ndarray:
-    """One bit for each bucket whose words and pairs together reach the count."""
-    sums = docs.mapInArrow(_bucket_sums(SHARD_BYTES, HELD_BYTES, bits), "bucket long, n long")
-    full = sums.groupBy("bucket").agg(F.sum("n").alias("n")).where(F.col("n") >= min_count).select("bucket")
+    """One bit for each bucket whose words and pairs together reach the count
+    (or 255, if that is less)."""
+    enough = max(1, min(min_count, 255))
     parts = max(1, 1 << bits >> SLICE_BITS)
-    made = (full.repartition(min(parts, 16), F.shiftright("bucket", SLICE_BITS))
-            .mapInArrow(_bits(bits), "part long, bits binary"))
+    sums = docs.mapInArrow(_bucket_sums(SHARD_BYTES, HELD_BYTES, bits, enough), "part long, sums binary")
+    made = (sums.repartition(min(parts, shuffle_partitions(docs)), "part")
+            .mapInArrow(_bits(bits, enough), "part long, bits binary"))
     table = np.zeros(max(1, (1 << bits) // 8), np.uint8)
     width = len(table) // parts
     for r in made.collect():  # at most 2 ** bits / 8 bytes in all
@@ -300,11 +329,12 @@ def _index_shards(table, most: int, held: int, bits: int, depth: int):
 
 
 def phrase_counts(docs: DataFrame, max_words: int = MAX_WORDS, min_count: int = MIN_COUNT,
-                  bits: int = BUCKET_BITS) -> DataFrame:
+                  bits: int | None = None) -> DataFrame:
     """(lang, phrase, m, n): every phrase of 1 to ``max_words`` words that
     occurs at least ``min_count`` times, with its number of words and of
     occurrences; for ``m`` = 0 the number of all words of the language."""
     docs = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), text_or_empty().alias("text"))
+    bits = bucket_bits(docs) if bits is None else bits
     table = share(docs.sparkSession, frequent_buckets(docs, min_count, bits))
     found = docs.mapInArrow(_index_shards(table, SHARD_BYTES, HELD_BYTES, bits, max_words),
                             "lang string, phrase string, m int, n long")
