@@ -456,6 +456,25 @@ def _narr(spark, sf):
     return pl.clean_narratives(standin.raw_narratives(spark, sf))
 
 
+@query("quoted_scan")
+def q_quoted_scan(spark, sf):
+    """Narratives written as quoted multi-line Latin-1 text, read range by range."""
+    from ..session import scratch_path
+    from ..sources import scan_quoted, write_text_table
+    raw = standin.raw_narratives(spark, sf).withColumn(
+        "NARRATIVE", F.regexp_replace("NARRATIVE", "[^\\x{00}-\\x{FF}]", "?"))
+    path = scratch_path(spark)
+    write_text_table(raw, path, encoding="ISO-8859-1")
+    rows = scan_quoted(spark, path, "ISO-8859-1")
+    return rows.select("FACID", "FACILITY_NAME", "PENALTY_ISSUE_DATE", big(F.length("NARRATIVE")).alias("n_chars"),
+                       F.md5("NARRATIVE").alias("narrative_md5"))
+
+
+@query("narrative_table")
+def q_narrative_table(spark, sf):
+    return pl.narrative_table(standin.raw_narratives(spark, sf))
+
+
 @query("clean_text")
 def q_clean_text(spark, sf):
     return _narr(spark, sf).select("FACID", "NARRATIVE_CLEAN")

@@ -415,13 +415,14 @@ _NARR = f"""
 raw_narr AS (
   SELECT CAST(doc_id AS VARCHAR) AS FACID,
     lower(source) || '''s ' || lang || ' 3rd st.' AS FACILITY_NAME,
+    CAST(doc_id % 12 + 1 AS VARCHAR) || '/' || CAST(doc_id % 28 + 1 AS VARCHAR) || '/2020' AS PENALTY_ISSUE_DATE,
     'F' || CAST(1000 + doc_id % 9000 AS VARCHAR) || ' ART' || CAST(n_chars % 100 AS VARCHAR) || ' (ref ' || source
       || ') ' || 'DIV' || CAST(doc_id % 7 AS VARCHAR) || ' T' || lpad(CAST(doc_id % 100 AS VARCHAR), 2, '0') || ' '
       || text || ' CH' || CAST(doc_id % 50 AS VARCHAR) AS NARRATIVE
   FROM documents
 ),
 narr AS (
-  SELECT FACID,
+  SELECT FACID, PENALTY_ISSUE_DATE,
     array_to_string(list_transform(regexp_extract_all(lower(FACILITY_NAME), '(\\p{{L}}+|\\P{{L}}+)'),
                                    lambda r: upper(r[1]) || r[2:]), '') AS FACILITY_NAME,
     {_clean_sql('NARRATIVE')} AS NARRATIVE_CLEAN
@@ -462,3 +463,14 @@ FROM narr n LEFT JOIN (
   SELECT FACID, string_agg(term, ', ' ORDER BY rn) AS TOP_KEYWORDS FROM (
     SELECT FACID, term, row_number() OVER (PARTITION BY FACID ORDER BY weight DESC, term DESC) AS rn
     FROM weights WHERE weight > 0) WHERE rn <= 3 GROUP BY FACID) k ON n.FACID = k.FACID"""
+
+ORACLE["quoted_scan"] = _TEXT + """
+SELECT FACID, FACILITY_NAME, PENALTY_ISSUE_DATE, length(t) AS n_chars, md5(t) AS narrative_md5
+FROM (SELECT *, regexp_replace(NARRATIVE, '[^\\x{00}-\\x{FF}]', '?', 'g') AS t FROM raw_narr)"""
+ORACLE["narrative_table"] = _TEXT_TERMS + """
+SELECT n.FACID, n.FACILITY_NAME, n.FACID AS PENALTY_NUMBER, 'A' AS CLASS_ASSESSED_INITIAL, n.PENALTY_ISSUE_DATE,
+  n.FACID AS EVENTID, coalesce(k.TOP_KEYWORDS, '') AS TOP_KEYWORDS
+FROM narr n LEFT JOIN (
+  SELECT FACID, string_agg(term, ', ' ORDER BY rn) AS TOP_KEYWORDS FROM (
+    SELECT FACID, term, row_number() OVER (PARTITION BY FACID ORDER BY weight DESC, term DESC) AS rn
+    FROM weights WHERE weight > 0) WHERE rn <= 3 GROUP BY FACID) k ON n.FACID = k.FACID"""

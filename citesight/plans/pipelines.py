@@ -227,6 +227,15 @@ NARRATIVE_TABLE = ["FACID", "FACILITY_NAME", "PENALTY_NUMBER", "CLASS_ASSESSED_I
                    "EVENTID", "TOP_KEYWORDS"]
 
 
+def narrative_table(narratives: DataFrame) -> DataFrame:
+    """Cleaned narratives with their keywords, as stored."""
+    from ..operators.keywords import tfidf, top_keywords
+    # penalty numbers repeat and can be NULL: the rows get an id of their own, written once
+    nc = materialize(clean_narratives(narratives).withColumn("_DOC", F.monotonically_increasing_id()))
+    kw = top_keywords(nc, tfidf(nc, "_DOC", "NARRATIVE_CLEAN"), "_DOC")
+    return nc.join(kw, "_DOC", "left").select(*NARRATIVE_TABLE)
+
+
 def run_pipeline(spark: SparkSession, enforcement: DataFrame, lookup: DataFrame, narratives: DataFrame | None,
                  out_dir: str, preset: Mapping = presets.HEALTH) -> dict[str, DataFrame]:
     """Whole run in one application: clean, store the star schema (fact, two
@@ -234,7 +243,6 @@ def run_pipeline(spark: SparkSession, enforcement: DataFrame, lookup: DataFrame,
     explain.  Tables are written as Parquet under ``out_dir`` and returned as
     read back, with ``validation`` (row and facility counts of the mart) and
     ``preview`` (three of its rows)."""
-    from ..operators.keywords import tfidf, top_keywords
     from ..sources.tables import load_mart, write_table
     out = {}
 
@@ -251,10 +259,7 @@ def run_pipeline(spark: SparkSession, enforcement: DataFrame, lookup: DataFrame,
     out["validation"] = table_report(mart, "FACID")
     out["preview"] = mart.limit(3)
     if narratives is not None:
-        # penalty numbers repeat and can be NULL: the rows get an id of their own, written once
-        nc = materialize(clean_narratives(narratives).withColumn("_DOC", F.monotonically_increasing_id()))
-        kw = top_keywords(nc, tfidf(nc, "_DOC", "NARRATIVE_CLEAN"), "_DOC")
-        store("fact_ltc_narratives", nc.join(kw, "_DOC", "left").select(*NARRATIVE_TABLE))
+        store("fact_ltc_narratives", narrative_table(narratives))
     scored = score_facilities(mart, preset)
     sel = inspection_list(mart, scored, preset=preset)
     store("inspection_list", sel)
@@ -273,6 +278,7 @@ def read_inputs(spark: SparkSession, enforcement: str, lookup: str, narratives:
     input's schema must be there; any other missing one is NULL."""
     from ..operators.filters import standardize_columns
     from ..sources import schemas
+    from ..sources.quoted import scan_quoted
     from ..sources.tables import read_table
 
     def typed(df, schema):
@@ -294,9 +300,7 @@ def read_inputs(spark: SparkSession, enforcement: str, lookup: str, narratives:
     narr = None
     if narratives is not None:
         if fmt == "csv":
-            raw = (spark.read.option("header", True).option("encoding", narratives_encoding)
-                   .option("multiLine", True).option("escape", '"').csv(narratives))
-            narr = typed(raw, schemas.NARRATIVES)
+            narr = typed(scan_quoted(spark, narratives, narratives_encoding), schemas.NARRATIVES)
         else:
             narr = typed(read_table(spark, narratives, fmt=fmt), schemas.NARRATIVES)
     return enf, lk, narr

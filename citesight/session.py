@@ -86,7 +86,7 @@ def share(spark: SparkSession, value):
     return sc.broadcast(value) if sc is not None else _Held(value)
 
 
-def materialize(df, how: str = "parquet"):
+def materialize(df, how: str = "parquet", partition_by: list[str] | None = None, to=None):
     """Cut the lineage of ``df`` by writing it to the shared folder named by
     ``spark.checkpoint.dir`` and reading it back.
 
@@ -95,16 +95,24 @@ def materialize(df, how: str = "parquet"):
     result -- start from it instead of re-running the upstream joins and
     aggregates.  ``how="parquet"`` (default) writes a Parquet table (columnar,
     with exact size statistics for the planner); ``how="checkpoint"`` uses
-    ``DataFrame.checkpoint``.
+    ``DataFrame.checkpoint``.  ``partition_by`` keeps rows apart in folders; ``to`` is the
+    session that reads the copy, if it is another than that of ``df``.
     """
-    import uuid
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
     if how == "checkpoint":
         return df.checkpoint(eager=True)
-    path = f"{_tables(spark)}/{uuid.uuid4().hex}"
-    df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    path = scratch_path(spark)
+    df.write.mode("overwrite").partitionBy(*(partition_by or [])).parquet(path)
+    read = (to or spark).read
+    return read.schema(df.schema).parquet(path) if partition_by else read.parquet(path)
+
+
+def scratch_path(spark: SparkSession) -> str:
+    """A new path in the shared folder; ``drop_materialized`` deletes it."""
+    import uuid
+    ensure_checkpoint_dir(spark)
+    return f"{_tables(spark)}/{uuid.uuid4().hex}"
 
 
 def drop_materialized(spark: SparkSession) -> None:

@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 
@@ -29,10 +30,15 @@ def read_table(spark: SparkSession, path: str, schema: StructType | str | None =
 def read_text_table(spark: SparkSession, path: str, schema: StructType | str,
                     encoding: str = "ISO-8859-1", partitions: int | None = None) -> DataFrame:
     """Delimited text with a header, quoted multi-line fields and a given
-    encoding.  Multi-line files cannot be split, so the result is spread out
-    again when ``partitions`` is given."""
-    df = (spark.read.schema(schema).option("header", True).option("encoding", encoding)
-          .option("multiLine", True).option("escape", '"').csv(path))
+    encoding, read range by range (``quoted.scan_quoted``).  The columns are
+    taken in the order of ``schema``; a value that is not of its type is NULL.
+    ``partitions`` spreads the rows over so many tasks."""
+    from .quoted import scan_quoted
+    kinds = StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    rows = scan_quoted(spark, path, encoding)
+    names = [*rows.columns, *[None] * (len(kinds.fields) - len(rows.columns))]
+    df = rows.select(*[(F.lit(None).cast(f.dataType) if n is None else F.col(f"`{n}`").try_cast(f.dataType)).alias(f.name)
+                       for n, f in zip(names, kinds.fields)])
     return df.repartition(partitions) if partitions else df
 
 
@@ -45,9 +51,9 @@ def write_table(df: DataFrame, path: str, partition_by: Sequence[str] | None = N
     w.parquet(path)
 
 
-def write_text_table(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """Overwriting delimited sink with a header line."""
-    df.write.mode(mode).option("header", True).csv(path)
+def write_text_table(df: DataFrame, path: str, mode: str = "overwrite", encoding: str = "UTF-8") -> None:
+    """Overwriting delimited sink with a header line; quotes are doubled."""
+    df.write.mode(mode).options(header=True, escape='"', encoding=encoding).csv(path)
 
 
 def load_mart(spark: SparkSession, path: str) -> DataFrame:
