@@ -103,15 +103,16 @@ def eb_smooth(df: DataFrame, rates: Sequence[str], n: str = "total_penalties", k
 
 def impute_median(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Replace NULLs by the column's exact median; an all-NULL column
-    becomes 0.  One pass finds the columns that hold NULLs; only those get a
-    (distributed, exact) median."""
-    from .quantiles import exact_quantile
+    becomes 0.  One pass finds the columns that hold NULLs; their medians are
+    found together, in a few jobs however many columns there are."""
+    from .quantiles import exact_quantiles
     nulls = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in cols]).first()
-    fill = {}
-    for c in cols:
-        if nulls[c]:
-            m = exact_quantile(df, c, 0.5)
-            fill[c] = 0.0 if m is None else m
+    return fill_medians(df, exact_quantiles(df, {c: [0.5] for c in cols if nulls[c]}))
+
+
+def fill_medians(df: DataFrame, medians: Mapping[str, Sequence[float | None]]) -> DataFrame:
+    """Replace NULLs by the given medians (None: 0)."""
+    fill = {c: 0.0 if m is None else m for c, (m,) in medians.items()}
     return df.withColumns({c: F.coalesce(F.col(c).cast("double"), F.lit(v)) for c, v in fill.items()})
 
 
@@ -132,7 +133,9 @@ def standard_scale(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 def impute_and_scale(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """``standard_scale(impute_median(df))`` with fewer passes: one aggregate
     gives NULL counts, means and standard deviations; only when a column has
-    NULLs are its median and its statistics after filling computed again."""
+    NULLs are its median and its statistics after filling computed again, for
+    all such columns together."""
+    from .quantiles import exact_quantiles
     aggs = []
     for c in cols:
         aggs += [F.count_if(F.col(c).isNull()).alias(f"n_{c}"), F.avg(c).alias(f"m_{c}"),
@@ -140,7 +143,7 @@ def impute_and_scale(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     st = df.agg(*aggs).first().asDict()
     with_nulls = [c for c in cols if st[f"n_{c}"]]
     if with_nulls:
-        df = impute_median(df, with_nulls)
+        df = fill_medians(df, exact_quantiles(df, {c: [0.5] for c in with_nulls}))
         st2 = df.agg(*[F.avg(c).alias(f"m_{c}") for c in with_nulls],
                      *[F.stddev_pop(c).alias(f"s_{c}") for c in with_nulls]).first().asDict()
         st.update(st2)

@@ -1,13 +1,20 @@
-"""Exact quantiles without gathering a column in one task.
+"""Exact quantiles of many columns at once, without gathering any of them.
 
-``percentile``/``median`` are exact but merge every distinct value into a
-single final buffer.  Here the exact value is found in three small jobs:
+``percentile``/``median`` are exact but merge every distinct value into one
+final buffer.  Here all wanted ranks are narrowed together:
 
-1. count the non-NULL values;
-2. ``percentile_approx`` (accuracy grown with the count) brackets the wanted
-   ranks, and one pass counts the values below and inside the bracket;
-3. only the values inside the bracket -- a bounded share of the column -- are
-   brought to the driver and the exact order statistics are read there.
+1. one aggregate gives each column's count, smallest and largest value;
+2. each round counts, in one pass over the rows, how many values of each
+   (column, rank) fall into each of ``BUCKETS`` buckets between the bounds, and
+   the smallest and largest value in each; the bucket that holds the rank gives
+   the next bounds, which are always values of the column.
+
+A round is one job for all columns, and rows meet only as partial counts.  A
+rank is found when its bucket holds one value, or when the two neighbouring
+ranks of an interpolation lie in two buckets.  Buckets are made by sign, then
+by logarithm while the bounds are far apart, then evenly, so any doubles
+are narrowed in few rounds (ties and infinities included).  Any rising bucket
+rule gives the same result, as only counts decide.
 
 The result equals numpy's linear-interpolation percentile.
 """
@@ -15,72 +22,97 @@ The result equals numpy's linear-interpolation percentile.
 from __future__ import annotations
 
 import math
+from collections.abc import Iterable, Mapping
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-MAX_BRACKET = 500_000
+BUCKETS = 1024
+
+
+@dataclass
+class _Rank:
+    """The search for the ranks ``k`` and ``k + more`` (0 or 1) of a column."""
+    column: str
+    low: float
+    high: float
+    below: int      # values of the column below ``low``
+    k: int
+    more: int
+    share: float    # of the way from one rank to the next
+    found: tuple[float, float] | None = None
+
+    def __post_init__(self):
+        if self.low == self.high:
+            self.found = self.low, self.low
+
+    def bucket(self, x: Column) -> Column:
+        lo, hi = self.low, self.high
+        if math.isinf(lo) or math.isinf(hi):
+            return F.when(x == -math.inf, 0).when(x == math.inf, 2).otherwise(1)
+        if lo <= 0 <= hi:
+            return F.when(x < 0, 0).when(x > 0, 2).otherwise(1)
+        far, near = max(abs(lo), abs(hi)), min(abs(lo), abs(hi))
+        if far / near > 2:
+            width = math.log(far) - math.log(near)
+            part = (F.log(F.abs(x)) - math.log(near)) / width if lo > 0 else (math.log(far) - F.log(F.abs(x))) / width
+        else:
+            part = (x - lo) / (hi - lo)
+        return F.least(F.greatest(F.floor(part * BUCKETS), F.lit(0)), F.lit(BUCKETS - 1))
+
+    def narrow(self, rows: list[tuple[int, int, float, float]]) -> None:
+        """``rows``: (bucket, count, smallest, largest) of the values within the bounds."""
+        below, before = self.below, None
+        for _, n, low, high in sorted(rows):
+            if before is not None:       # the rank before was the last one of its bucket
+                self.found = before, low
+                return
+            if self.k < below + n:
+                if self.k + self.more < below + n:
+                    self.low, self.high, self.below = low, high, below
+                    self.__post_init__()
+                    return
+                before = high
+            below += n
+
+    def value(self) -> float:
+        a, b = self.found
+        if a == b:
+            return a
+        return a + (b - a) * self.share if self.share < 0.5 else b - (b - a) * (1 - self.share)
+
+
+def exact_quantiles(df: DataFrame, wanted: Mapping[str, Iterable[float]]) -> dict[str, list[float | None]]:
+    """For each column its quantiles (0 to 1), in the order asked for.  NULL and
+    NaN do not count; a column without values gives None.  ``df`` is read once
+    per round: pass a stored table if it is expensive."""
+    wanted = {c: list(qs) for c, qs in wanted.items()}
+    if not wanted:
+        return {}
+    names = {c: f"_{i}" for i, c in enumerate(wanted)}
+    x = df.select(*[F.col(c).cast("double").alias(n) for c, n in names.items()])
+    x = x.select(*[F.when(F.isnan(n), None).otherwise(F.col(n)).alias(n) for n in names.values()])
+    st = x.agg(*[f(n).alias(p + n) for n in names.values() for p, f in (("n", F.count), ("l", F.min), ("h", F.max))]).first()
+    out: dict[str, list] = {}
+    for c, qs in wanted.items():
+        n = st["n" + names[c]]
+        out[c] = [_Rank(names[c], st["l" + names[c]], st["h" + names[c]], 0, k := int(q * (n - 1)),
+                        int(q * (n - 1) > k), q * (n - 1) - k) if n else None for q in qs]
+    ranks = [r for rs in out.values() for r in rs if r]
+    while open_ := [r for r in ranks if r.found is None]:
+        hits = F.array(*[F.when((F.col(r.column) >= r.low) & (F.col(r.column) <= r.high), F.struct(
+            F.lit(i).alias("i"), r.bucket(F.col(r.column)).cast("int").alias("b"), F.col(r.column).alias("x")))
+            for i, r in enumerate(open_)])
+        rows: dict[int, list] = {}
+        for g in (x.select(F.explode_outer(hits).alias("h")).where("h IS NOT NULL").select("h.*")
+                  .groupBy("i", "b").agg(F.count("*").alias("n"), F.min("x").alias("lo"), F.max("x").alias("hi")).collect()):
+            rows.setdefault(g.i, []).append((g.b, g.n, g.lo, g.hi))
+        for i, r in enumerate(open_):
+            r.narrow(rows[i])
+    return {c: [r.value() if r else None for r in rs] for c, rs in out.items()}
 
 
 def exact_quantile(df: DataFrame, col: str, q: float) -> float | None:
-    x = df.select(F.col(col).cast("double").alias("x")).where(F.col("x").isNotNull() & ~F.isnan("x"))
-    n = x.count()
-    if n == 0:
-        return None
-    pos = q * (n - 1)
-    k0, k1 = int(math.floor(pos)), int(math.ceil(pos))
-    frac = pos - k0
-    accuracy = int(min(1_000_000, max(10_000, n // 20_000)))
-    eps = 3.0 / accuracy
-    lo_q, hi_q = max(0.0, q - eps), min(1.0, q + eps)
-    lo, hi = x.agg(F.percentile_approx("x", [lo_q, hi_q], accuracy).alias("b")).first()["b"]
-    while True:
-        lo_c = F.lit(lo) if lo is not None else F.lit(float("-inf"))
-        hi_c = F.lit(hi) if hi is not None else F.lit(float("inf"))
-        r = x.agg(F.count_if(F.col("x") < lo_c).alias("below"),
-                  F.count_if((F.col("x") >= lo_c) & (F.col("x") <= hi_c)).alias("inside")).first()
-        below, inside = r["below"], r["inside"]
-        if below <= k0 and k1 < below + inside:
-            break
-        # bracket missed (should not happen): open the side that missed
-        if below > k0:
-            lo = None
-        if k1 >= below + inside:
-            hi = None
-    # Many equal values can make the bracket large: split it at its midpoint
-    # (one aggregate per step) and snap the kept half to actual values, until
-    # it is small, holds a single value, or the two ranks straddle the split.
-    while inside > MAX_BRACKET:
-        if lo is None or hi is None:
-            ext = x.agg(F.min("x").alias("a"), F.max("x").alias("b")).first()
-            lo = ext["a"] if lo is None else lo
-            hi = ext["b"] if hi is None else hi
-            below = x.where(F.col("x") < F.lit(lo)).count()
-        if lo == hi:
-            return float(lo)
-        mid = lo + (hi - lo) / 2.0
-        if mid <= lo:  # neighbouring doubles: take the smallest value out on its own
-            r = x.agg(F.count_if(F.col("x") == F.lit(lo)).alias("n"),
-                      F.min(F.when(F.col("x") > F.lit(lo), F.col("x"))).alias("next")).first()
-            if k1 < below + r["n"]:
-                return float(lo)
-            if k0 < below + r["n"]:
-                return lo + (r["next"] - lo) * frac
-            lo, below, inside = r["next"], below + r["n"], inside - r["n"]
-            continue
-        in_lo = (F.col("x") >= F.lit(lo)) & (F.col("x") < F.lit(mid))
-        in_hi = (F.col("x") >= F.lit(mid)) & (F.col("x") <= F.lit(hi))
-        r = x.agg(F.count_if(in_lo).alias("n"), F.max(F.when(in_lo, F.col("x"))).alias("lmax"),
-                  F.min(F.when(in_hi, F.col("x"))).alias("hmin")).first()
-        n_low = r["n"]
-        if k1 < below + n_low:
-            hi, inside = r["lmax"], n_low
-        elif k0 >= below + n_low:
-            lo, below, inside = r["hmin"], below + n_low, inside - n_low
-        else:  # k0 is the last value below mid, k1 the first one above
-            return r["lmax"] + (r["hmin"] - r["lmax"]) * frac
-    lo_c = F.lit(lo) if lo is not None else F.lit(float("-inf"))
-    hi_c = F.lit(hi) if hi is not None else F.lit(float("inf"))
-    vals = sorted(v["x"] for v in x.where((F.col("x") >= lo_c) & (F.col("x") <= hi_c)).collect())
-    v0, v1 = vals[k0 - below], vals[k1 - below]
-    return v0 + (v1 - v0) * frac
+    """One quantile of one column."""
+    return exact_quantiles(df.select(col), {col: [q]})[col][0]

@@ -76,6 +76,6 @@ def test_other_encodings_use_the_one_task_reader(spark, tmp_path):
 
 @pytest.mark.parametrize("line,outside,inside", [
     (b"a,b", False, True), (b'"a', True, False), (b'a","b', True, True), (b'x""y', False, True), (b'"a""', True, False),
-    (b'a"', False, False), (b'a",b', False, False), (b'a,"b",c', False, True), (b'5" pipe', False, False), (b"", False, True)])
+    (b'a"', False, False), (b'a",b', False, False), (b'a,"b",c', False, False), (b'5" pipe', False, False), (b"", False, True)])
 def test_line_states(line, outside, inside):
     assert (ends_inside(line, False, b","), ends_inside(line, True, b",")) == (outside, inside)
