@@ -4,11 +4,14 @@ Spark ML has no isolation forest, so it is built from DataFrame pieces with
 numpy only inside tasks:
 
 1. *Sample* -- each tree needs ``psi = min(max_samples, N)`` rows drawn without
-   replacement.  Every row draws a hash-based uniform number per tree
-   (``xxhash64(key, tree, seed)``) and is kept as a candidate for the trees
-   where the number falls under ``~3 psi / N``; no full ``rows x trees`` table is
-   ever built.  Each tree keeps its ``psi`` smallest draws.  The draw depends
-   only on the key, so the forest is the same for any partitioning.
+   replacement: the ``psi`` smallest of uniform draws, one per row and tree.  A
+   draw is a hash of the row (its key; also its features if the key repeats),
+   the tree and the seed, so it is the same for any partitioning.  Equal rows are counted first; a row with
+   ``c`` copies draws the smallest of ``c`` numbers in order, as sums of
+   exponential gaps, at most ``psi`` of them.  Draws above a share of the rows
+   that no tree needs are left out where they are made, and each task keeps at
+   most ``psi`` draws a tree before the exchange (a group limit), so no table of
+   rows x trees is built and no tree's group holds more than ``psi`` rows.
 2. *Fit* -- ``groupBy(tree).applyInPandas``: one group per tree, a few hundred
    rows each, grown with a per-tree seeded generator.
 3. *Model* -- a node table ``(tree, node, feature, threshold, left, right,
@@ -30,7 +33,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -151,16 +154,54 @@ class ForestArrays:
         return -np.power(2.0, -self.path_length(X) / c)
 
 
-def _uniform(key: F.Column, tree: F.Column, seed: int) -> F.Column:
-    """A uniform [0, 1) number per (key, tree, seed) from a 64-bit hash."""
-    h = F.xxhash64(key, tree, F.lit(seed))
-    return F.pmod(h, F.lit(1 << 53)).cast("double") / float(1 << 53)
+def _uniform(*parts: Column) -> Column:
+    """A uniform [0, 1) number from a 64-bit hash."""
+    return F.pmod(F.xxhash64(*parts), F.lit(1 << 53)).cast("double") / float(1 << 53)
+
+
+def sample_share(psi: int, n: int) -> float:
+    """The share of draws that holds the ``psi`` smallest of ``n``: by
+    Chernoff's bound it holds fewer with a chance below ``e ** -36``."""
+    return min(1.0, (psi + 12.0 * math.sqrt(psi) + 72.0) / max(n, 1))
+
+
+def smallest_draws(data: DataFrame, key: str, features: Sequence[str], trees: int, psi: int, seed: int,
+                   share: float) -> DataFrame:
+    """The rows of each tree's sample: ``_tree`` and ``_u`` next to the columns
+    of ``data``, the ``psi`` smallest draws of each tree."""
+    counted = data.groupBy(key, *features).agg(F.count("*").alias("_copies"))
+    # a key draws for its row; where it has several rows, the features tell them apart
+    many = counted.groupBy(F.col(key).alias("_key")).agg(F.count("*").alias("_rows")).where("_rows > 1")
+    row = F.when(F.col("_rows").isNull(), F.xxhash64(F.col(key))).otherwise(F.xxhash64(F.col(key), *[F.col(c) for c in features]))
+    counted = counted.join(many, F.col(key).eqNullSafe(F.col("_key")), "left").withColumn("_row", row)
+    below = F.lit(share if share < 1.0 else 2.0)
+
+    def one(t: Column) -> Column:
+        return F.array(F.struct(t.alias("_tree"), _uniform(F.col("_row"), t, F.lit(seed)).alias("_u")))
+
+    def several(t: Column) -> Column:
+        # the i-th smallest of c uniform numbers is 1 - exp(-E_i), E_i = E_(i-1) + X_i / (c - i + 1), X_i exponential
+        def gap(i: Column) -> Column:
+            return -F.log1p(-_uniform(F.col("_row"), t, F.lit(seed), i)) / (F.col("_copies") - i + 1)
+        sums = F.aggregate(F.sequence(F.lit(1).cast("long"), F.least(F.col("_copies"), F.lit(psi))), F.array().cast("array<double>"),
+                           lambda e, i: F.concat(e, F.array(F.coalesce(F.try_element_at(e, F.lit(-1)), F.lit(0.0)) + gap(i))))
+        return F.transform(sums, lambda e: F.struct(t.alias("_tree"), (-F.expm1(-e)).alias("_u")))
+
+    every = F.sequence(F.lit(0), F.lit(trees - 1))
+    draws = F.flatten(F.when(F.col("_copies") == 1, F.transform(every, one)).otherwise(F.transform(every, several)))
+    kept = F.filter(draws, lambda d: d["_u"] < below)
+    # explode_outer + NULL filter keeps the optimizer from evaluating the
+    # per-tree draws a second time in an inferred pre-filter
+    made = counted.withColumn("_d", F.explode_outer(kept)).where(F.col("_d").isNotNull())
+    made = made.select(key, *features, "_row", "_d._tree", "_d._u")
+    first = Window.partitionBy("_tree").orderBy("_u", key, "_row")
+    return made.withColumn("_rn", F.row_number().over(first)).where(F.col("_rn") <= psi).drop("_rn", "_row")
 
 
 def _fit_group(features: Sequence[str], key: str, psi: int, seed: int, max_depth: int):
     def fit(pdf: pd.DataFrame) -> pd.DataFrame:
         tree = int(pdf["_tree"].iloc[0])
-        pdf = pdf.sort_values(["_u", key], kind="mergesort").head(psi).sort_values(key, kind="mergesort")
+        pdf = pdf.sort_values([key, "_u"], kind="mergesort")
         X = pdf[list(features)].to_numpy(dtype=float)
         rng = np.random.default_rng([seed, tree])
         t = grow_tree(X, rng, max_depth)
@@ -221,35 +262,20 @@ class IsolationForest:
         self.seed = seed
 
     def fit(self, df: DataFrame, features: Sequence[str], key: str) -> IsolationForestModel:
-        from ..session import materialize, ship_package
+        from ..session import ship_package
         ship_package(df.sparkSession)
         feats = list(features)
         data = df.select(key, *[F.col(c).cast("double").alias(c) for c in feats])
         n = data.count()
         psi = max(1, min(self.max_samples, n))
         max_depth = int(math.ceil(math.log2(max(psi, 2))))
-        share = min(1.0, 3.0 * psi / max(n, 1))
-        while True:
-            cands = materialize(self._candidates(data, key, share))  # counted, then fitted
-            if share >= 1.0:
-                break
-            per_tree = cands.groupBy("_tree").count()
-            r = per_tree.agg(F.min("count").alias("m"), F.count(F.lit(1)).alias("t")).first()
-            if r["t"] == self.n_trees and (r["m"] or 0) >= psi:
-                break
-            share = min(1.0, share * 2.0)
-        schema = NODE_SCHEMA
-        nodes = (cands.groupBy("_tree")
-                 .applyInPandas(_fit_group(feats, key, psi, self.seed, max_depth), schema)
-                 .toPandas())
+        share = sample_share(psi, n)
+        nodes = self._grow(data, key, feats, psi, max_depth, share)
+        if share < 1.0 and (nodes.loc[nodes["node"] == 0, "size"] < psi).any():  # next to impossible
+            nodes = self._grow(data, key, feats, psi, max_depth, 1.0)
         return IsolationForestModel(nodes, feats, psi, max_depth, n)
 
-    def _candidates(self, data: DataFrame, key: str, share: float) -> DataFrame:
-        trees = F.sequence(F.lit(0), F.lit(self.n_trees - 1))
-        draws = F.transform(trees, lambda t: F.struct(t.alias("_tree"),
-                                                      _uniform(F.col(key), t, self.seed).alias("_u")))
-        kept = F.filter(draws, lambda s: s["_u"] < F.lit(share)) if share < 1.0 else draws
-        # explode_outer + NULL filter keeps the optimizer from evaluating the
-        # per-tree draws a second time in an inferred pre-filter
-        return (data.select("*", F.explode_outer(kept).alias("_d")).where(F.col("_d").isNotNull())
-                .select("*", "_d._tree", "_d._u").drop("_d"))
+    def _grow(self, data: DataFrame, key: str, feats: list[str], psi: int, max_depth: int, share: float) -> pd.DataFrame:
+        sample = smallest_draws(data, key, feats, self.n_trees, psi, self.seed, share)
+        return (sample.groupBy("_tree")
+                .applyInPandas(_fit_group(feats, key, psi, self.seed, max_depth), NODE_SCHEMA).toPandas())

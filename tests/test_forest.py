@@ -113,3 +113,34 @@ def test_attribution_reads_partitions_in_bounded_arrays():
     assert [len(x) for x in got] == [10, 10, 9]
     assert np.concatenate(got)[:, 0].tolist() == [v for p in parts for v in p["a"]]
     assert list(chunks(iter([]), ["a", "b"])) == []
+
+
+def _rows_with_a_hot_key(spark, parts):
+    rng = np.random.default_rng(9)
+    rows = [("hot", 1.0, 2.0)] * 3000 + [(f"k{i % 2500}", float(a), float(b)) for i, (a, b) in enumerate(rng.random((6000, 2)))]
+    return spark.createDataFrame(rows, "k string, a double, b double").repartition(parts)
+
+
+def test_a_repeated_key_gives_bounded_samples(spark):
+    from citesight.operators.forest import sample_share, smallest_draws
+    trees, psi = 60, 64
+    df = _rows_with_a_hot_key(spark, 5)
+    sample = smallest_draws(df, "k", ["a", "b"], trees, psi, 1, sample_share(psi, 9000))
+    plan = sample._jdf.queryExecution().executedPlan().toString()
+    assert "WindowGroupLimit" in plan
+    pdf = sample.toPandas()
+    assert (pdf.groupby("_tree").size() == psi).all() and pdf._tree.nunique() == trees
+    hot = (pdf.k == "hot").mean()          # a third of the rows, give or take the chance of 3840 draws
+    assert abs(hot - 1 / 3) < 5 * (2 / 9 / (trees * psi)) ** 0.5
+    # the draws of copies are those of single rows: uniform up to the largest one kept
+    assert abs(pdf[pdf.k == "hot"]._u.mean() / pdf[pdf.k != "hot"]._u.mean() - 1) < 0.1
+    again = smallest_draws(_rows_with_a_hot_key(spark, 3), "k", ["a", "b"], trees, psi, 1, 1.0).toPandas()
+    cols = ["_tree", "_u", "k", "a", "b"]
+    assert sorted(map(tuple, pdf[cols].values)) == sorted(map(tuple, again[cols].values))
+
+
+def test_small_tables_are_sampled_whole(spark):
+    from citesight.operators.forest import sample_share, smallest_draws
+    df = spark.createDataFrame([("a", 1.0)] * 3 + [("b", 2.0)], "k string, a double")
+    got = smallest_draws(df, "k", ["a"], 4, 4, 1, sample_share(4, 4)).groupBy("_tree", "k").count().collect()
+    assert {(r._tree, r.k): r["count"] for r in got} == {(t, k): n for t in range(4) for k, n in (("a", 3), ("b", 1))}
