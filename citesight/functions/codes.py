@@ -37,13 +37,21 @@ def effective_class(initial, final, appealed, not_appealed: str = "No") -> Colum
 # Accepted date layouts: (shape, pattern).  The shape test picks the one
 # pattern to try, so a value is parsed once instead of failing through the
 # list (a failed parse is expensive).  Pattern None: the ISO rules of a cast
-# (unpadded parts, T, fractions).
+# (unpadded parts, T, fractions).  Numbers are month, day, year unless the year
+# comes first.
+_CLOCK, _AMPM = r" \d{1,2}:\d{2}", r" \d{1,2}:\d{2}(:\d{2})? ?[AaPp][Mm]"
 DATE_LAYOUTS = (
-    (r"^\d{4}-\d{1,2}-\d{1,2}([ T]\d{1,2}:\d{1,2}(:\d{1,2}(\.\d+)?)?)?$", None),
+    (r"^\d{4}-\d{1,2}-\d{1,2}([ T]\d{1,2}:\d{1,2}(:\d{1,2}(\.\d+)?)?)?Z?$", None),
     (r"^\d{1,2}/\d{1,2}/\d{4}$", "M/d/yyyy"),
-    (r"^\d{1,2}/\d{1,2}/\d{4} \d{1,2}:\d{2}$", "M/d/yyyy H:mm"),
-    (r"^\d{1,2}/\d{1,2}/\d{4} \d{1,2}:\d{2}:\d{2}$", "M/d/yyyy H:mm:ss"),
+    (rf"^\d{{1,2}}/\d{{1,2}}/\d{{4}}{_CLOCK}$", "M/d/yyyy H:mm"),
+    (rf"^\d{{1,2}}/\d{{1,2}}/\d{{4}}{_CLOCK}:\d{{2}}$", "M/d/yyyy H:mm:ss"),
+    (rf"^\d{{1,2}}/\d{{1,2}}/\d{{4}}{_AMPM}$", "M/d/yyyy h:mm[:ss] a"),
+    (r"^\d{8}$", "yyyyMMdd"),
+    (r"^\d{4}/\d{1,2}/\d{1,2}$", "yyyy/M/d"),
+    (r"^\d{1,2}/\d{1,2}/\d{2}$", "M/d/yyyy"),
+    (r"^\d{1,2}-\d{1,2}-\d{4}$", "M-d-yyyy"),
     (r"^\d{1,2}[- ][A-Za-z]{3}[- ]\d{4}$", "d MMM yyyy"),
+    (r"^\d{1,2}[- ][A-Za-z]{4,9}[- ]\d{4}$", "d MMMM yyyy"),
     (r"^[A-Za-z]{3} \d{1,2},? \d{4}$", "MMM d yyyy"),
     (r"^[A-Za-z]{4,9} \d{1,2},? \d{4}$", "MMMM d yyyy"),
 )
@@ -52,16 +60,20 @@ DATE_LAYOUTS = (
 def parse_date(c, layouts: Sequence[tuple[str, str]] = DATE_LAYOUTS) -> Column:
     """Parse text to a timestamp (no time zone); anything unparsable -> NULL.
     Outer white space is ignored; month names in any case, with or without a
-    comma or hyphens."""
+    comma or hyphens; a final Z (universal time) is dropped; years of two digits
+    are 1969 to 2068."""
     e, text = None, F.trim(_c(c).cast("string"))
-    named = F.initcap(F.regexp_replace(text, "[-,]", " "))
-    named = F.regexp_replace(named, " +", " ")
+    named = F.initcap(F.regexp_replace(F.regexp_replace(text, "[-,]", " "), " +", " "))
+    century = F.regexp_replace(F.regexp_replace(text, r"/(\d{2})$", "/20$1"), r"/20(69|[789]\d)$", "/19$1")
+    clock = F.regexp_replace(F.upper(text), r"(\d)([AP]M)$", "$1 $2")
     for shape, fmt in layouts:
         cond = text.rlike(shape)
         if fmt is None:
-            val = text.try_cast("timestamp_ntz")
+            val = F.rtrim(text, F.lit("Z")).try_cast("timestamp_ntz")
         else:
-            val = F.try_to_timestamp(named if "MMM" in fmt else text, F.lit(fmt)).cast("timestamp_ntz")
+            said = (named if "MMM" in fmt else clock if fmt.endswith("a")
+                    else century if shape.endswith(r"/\d{2}$") else text)
+            val = F.try_to_timestamp(said, F.lit(fmt)).cast("timestamp_ntz")
         e = F.when(cond, val) if e is None else e.when(cond, val)
     return e
 

@@ -25,7 +25,7 @@ def with_rank(df: DataFrame, order: Sequence, name: str = "rank") -> DataFrame:
 
 
 def event_gaps(df: DataFrame, key: str, event: str, date: str, partitions: int | None = None) -> DataFrame:
-    """Days from each event of a facility to its previous event.
+    """Whole days that passed from a facility's previous event to each event.
 
     The event date is the first date seen for the (facility, event) pair; the
     gap is NULL for a facility's first event.  Ties on date are ordered by the
@@ -57,8 +57,8 @@ def event_gaps(df: DataFrame, key: str, event: str, date: str, partitions: int |
     joined = local.join(F.broadcast(carry), local["_pid"] == carry["_cpid"], "left")
     from_carry = F.when(F.col("_carry.k") == F.col(key), F.col("_carry.d"))
     prev = F.when(F.col("_rn") == 1, from_carry).otherwise(F.col("_prev"))
-    return joined.select(key, event, "event_date",
-                         F.datediff(F.col("event_date"), prev).alias("days_to_prev"))
+    passed = F.col("event_date").cast("timestamp_ntz") - prev.cast("timestamp_ntz")
+    return joined.select(key, event, "event_date", F.extract(F.lit("DAY"), passed).cast("int").alias("days_to_prev"))
 
 
 def gap_summary(gaps: DataFrame, by: str | None = None) -> DataFrame:

@@ -179,6 +179,39 @@ def q_drop_values(spark, sf):
     return filters.drop_values(raw, "VARIABLE", presets.LOOKUP_HEADER_VALUES)
 
 
+@query("typed_scan")
+def q_typed_scan(spark, sf):
+    """Rejects of a text copy of the penalties in which some amounts are no numbers."""
+    from ..functions import parse_date
+    from ..sources import schemas
+    from ..sources.typed import RESCUED, merge, reject_report, rescued, typed_scan
+    raw = standin.raw_enforcement(spark, sf)
+    number, due = F.col("TOTAL_AMOUNT_INITIAL"), F.col("TOTAL_BALANCE_DUE").cast("string")
+    said = {c: F.col(c).cast("string") for c in raw.columns} | {
+        "TOTAL_AMOUNT_INITIAL": F.when(number % 10 < 1, F.concat(F.lit("$"), number.cast("string"))).otherwise(number.cast("string")),
+        "TOTAL_BALANCE_DUE": F.when(number % 10 < 2, F.lit("n/a")).when(number % 10 < 3, F.lit("  ")).otherwise(due)}
+    text = raw.select(*[e.alias(c) for c, e in said.items()])
+    typed = typed_scan(text, schemas.ENFORCEMENT)
+    dates = rescued([(c, F.col(c), parse_date(c)) for c in schemas.ENFORCEMENT_DATES])
+    return reject_report(typed.withColumn(RESCUED, merge(F.col(RESCUED), dates)))
+
+
+@query("mart_proofs")
+def q_mart_proofs(spark, sf):
+    return pl.mart_proofs(_enf_clean(spark, sf), *pl.dims(_lookup_clean(spark, sf)))
+
+
+@query("column_quantiles")
+def q_column_quantiles(spark, sf):
+    """Exact quantiles of all amounts, narrowed together."""
+    from ..operators.quantiles import exact_quantiles
+    shares = [0.0, 0.05, 0.25, 0.5, 0.75, 0.95, 1.0]
+    m = materialize(_mart(spark, sf).select(*MONEY_COLS, "COMPLAINT_COUNT", "HIGHEST_PRIORITY"))
+    got = exact_quantiles(m, {c: shares for c in m.columns})
+    rows = [(c, q, v) for c, vs in got.items() for q, v in zip(shares, vs)]
+    return spark.createDataFrame(rows, "column string, share double, value double").withColumn("value", r6("value"))
+
+
 @query("masked_flags")
 def q_masked_flags(spark, sf):
     lk = _lookup_clean(spark, sf)

@@ -310,7 +310,7 @@ FROM (SELECT DISTRICT_OFFICE, PENALTY_TYPE, count(*) AS count FROM mart
 _GAPS = """
 gaps AS (
   SELECT FACID, EVENTID, event_date,
-    CAST(date_diff('day', lag(event_date) OVER (PARTITION BY FACID ORDER BY event_date ASC NULLS FIRST, EVENTID),
+    CAST(date_sub('day', lag(event_date) OVER (PARTITION BY FACID ORDER BY event_date ASC NULLS FIRST, EVENTID),
                    event_date) AS DOUBLE) AS days_to_prev
   FROM (SELECT FACID, EVENTID, min(PENALTY_ISSUE_DATE) AS event_date FROM mart
         WHERE FACID IS NOT NULL AND EVENTID IS NOT NULL GROUP BY 1, 2)
@@ -474,3 +474,33 @@ FROM narr n LEFT JOIN (
   SELECT FACID, string_agg(term, ', ' ORDER BY rn) AS TOP_KEYWORDS FROM (
     SELECT FACID, term, row_number() OVER (PARTITION BY FACID ORDER BY weight DESC, term DESC) AS rn
     FROM weights WHERE weight > 0) WHERE rn <= 3 GROUP BY FACID) k ON n.FACID = k.FACID"""
+
+_REJECTS = """texts AS (
+  SELECT CASE WHEN TOTAL_AMOUNT_INITIAL % 10 < 1 THEN '$' || TOTAL_AMOUNT_INITIAL END AS a,
+         CASE WHEN TOTAL_AMOUNT_INITIAL % 10 < 2 THEN 'n/a' END AS b, PENALTY_ISSUE_DATE AS d, {issued} AS issued,
+         VIOLATION_FROM_DATE AS v, {violated} AS violated
+  FROM raw_enf)""".format(issued=ob.parse_ts("PENALTY_ISSUE_DATE"), violated=ob.parse_ts("VIOLATION_FROM_DATE"))
+ORACLE["typed_scan"] = ob.with_ctes(ob.RAW_ENF, _REJECTS) + """
+SELECT * FROM (
+  SELECT 'TOTAL_AMOUNT_INITIAL' AS "column", count(a) AS rejected, count(DISTINCT a) AS texts FROM texts
+  UNION ALL SELECT 'TOTAL_BALANCE_DUE', count(b), count(DISTINCT b) FROM texts
+  UNION ALL SELECT 'PENALTY_ISSUE_DATE', count(d), count(DISTINCT d) FROM texts WHERE issued IS NULL AND trim(d) <> ''
+  UNION ALL SELECT 'VIOLATION_FROM_DATE', count(v), count(DISTINCT v) FROM texts WHERE violated IS NULL AND trim(v) <> '')
+WHERE rejected > 0"""
+
+ORACLE["mart_proofs"] = BASE_MART + """,
+types AS (SELECT VALUE, count(*) AS n FROM lk WHERE VARIABLE = 'FAC_TYPE_CODE' AND VALUE IS NOT NULL GROUP BY 1),
+classes AS (SELECT DESCRIPTION, count(*) AS n FROM lk WHERE VARIABLE = 'Class_Assessed_Final' AND DESCRIPTION IS NOT NULL GROUP BY 1),
+met AS (SELECT e.FAC_TYPE_CODE AS code, e.CLASS_ASSESSED_FINAL AS klass, t.n AS tn, c.n AS cn
+        FROM enf e LEFT JOIN types t ON t.VALUE = e.FAC_TYPE_CODE LEFT JOIN classes c ON c.DESCRIPTION = e.CLASS_ASSESSED_FINAL)
+SELECT count(*) AS fact_rows, CAST(sum(coalesce(tn, 1) * coalesce(cn, 1)) AS BIGINT) AS mart_rows,
+  count(*) FILTER (code IS NULL) AS type_missing, count(*) FILTER (code IS NOT NULL AND tn IS NULL) AS type_unknown,
+  count(*) FILTER (klass IS NULL) AS class_missing, count(*) FILTER (klass IS NOT NULL AND cn IS NULL) AS class_unknown,
+  (SELECT count(*) FROM types WHERE n > 1) AS repeated_types, (SELECT count(*) FROM classes WHERE n > 1) AS repeated_classes
+FROM met"""
+
+_MEASURED = ["TOTAL_AMOUNT_INITIAL", "TOTAL_AMOUNT_DUE_FINAL", "TOTAL_BALANCE_DUE", "TOTAL_PENALTY_OFFSET_AMOUNT",
+             "COMPLAINT_COUNT", "HIGHEST_PRIORITY"]
+ORACLE["column_quantiles"] = BASE_MART + " UNION ALL ".join(
+    f"\nSELECT '{c}' AS \"column\", CAST({q} AS DOUBLE) AS share, round(quantile_cont(CAST({c} AS DOUBLE), {q}), 6) AS value FROM mart"
+    for c in _MEASURED for q in (0.0, 0.05, 0.25, 0.5, 0.75, 0.95, 1.0))

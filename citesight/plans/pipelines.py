@@ -7,20 +7,29 @@ scoring and the reports read it back.
 
 from __future__ import annotations
 
+import hashlib
+import json
 from collections.abc import Mapping, Sequence
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .. import presets
 from ..functions import (clean_text, collapse_ws, effective_class, highest_priority, parse_date,
                          recode, strip_tabs, title_case, token_count, utrim, yes_no_flag)
-from ..operators.filters import drop_values, exclude_outcomes, flag_where, keyword_flags
+from ..operators.filters import drop_values, exclude_outcomes, flag_where, keyword_flags, standardize_columns
 from ..operators.aggregates import table_report
-from ..operators.joins import enrich_mart, is_small
+from ..operators.joins import enrich_mart, is_small, scalar
 from ..operators.profile import add_rates, eb_smooth, facility_profile, profile_columns, rate_name
 from ..session import materialize
-from ..sources import standin
+from ..sources import schemas, standin
+from ..sources.quoted import scan_quoted
+from ..sources.schemas import check_schema
+from ..sources.tables import read_table
+from ..sources.typed import RESCUED, count_rejects, merge, no_rejects, rescued, typed_scan
+from ..sources.warehouse import Warehouse, content_digest
 
 
 def clean_enforcement(df: DataFrame, preset: Mapping = presets.HEALTH,
@@ -222,48 +231,117 @@ def attribution(scored: Mapping) -> DataFrame:
     return out
 
 
-#: Columns of the stored narrative table.
-NARRATIVE_TABLE = ["FACID", "FACILITY_NAME", "PENALTY_NUMBER", "CLASS_ASSESSED_INITIAL", "PENALTY_ISSUE_DATE",
-                   "EVENTID", "TOP_KEYWORDS"]
-
-
 def narrative_table(narratives: DataFrame) -> DataFrame:
     """Cleaned narratives with their keywords, as stored."""
     from ..operators.keywords import tfidf, top_keywords
     # penalty numbers repeat and can be NULL: the rows get an id of their own, written once
     nc = materialize(clean_narratives(narratives).withColumn("_DOC", F.monotonically_increasing_id()))
     kw = top_keywords(nc, tfidf(nc, "_DOC", "NARRATIVE_CLEAN"), "_DOC")
-    return nc.join(kw, "_DOC", "left").select(*NARRATIVE_TABLE)
+    return nc.join(kw, "_DOC", "left").select(*schemas.STORED_NARRATIVES.fieldNames())
+
+
+def clean_with_rejects(enforcement: DataFrame, preset: Mapping) -> DataFrame:
+    """Cleaned penalties with the rescue column: the texts of amounts that the
+    scan could not cast (if it kept them) and of dates that could not be read."""
+    dates = schemas.ENFORCEMENT_DATES
+    kept = F.col(RESCUED) if RESCUED in enforcement.columns else no_rejects()
+    raw = enforcement.withColumns({RESCUED: kept, **{f"_raw_{c}": F.col(c) for c in dates}})
+    unread = rescued([(c, F.col(f"_raw_{c}"), F.col(c)) for c in dates])
+    return clean_enforcement(raw, preset).withColumn(RESCUED, merge(F.col(RESCUED), unread)).drop(*[f"_raw_{c}" for c in dates])
+
+
+def mart_proofs(fact: DataFrame, dim_fac: DataFrame, dim_class: DataFrame) -> DataFrame:
+    """One row: what the mart's joins will do, before they are done.
+
+    Penalties, the rows that the joins will make of them, keys that a dimension
+    holds more than once (each multiplies rows), and penalties whose type or
+    class is missing or not in its dimension.  The penalties are grouped once,
+    by their pair of codes."""
+    types = dim_fac.where("VALUE IS NOT NULL").groupBy(F.col("VALUE").alias("FAC_TYPE_CODE")).agg(F.count("*").alias("types"))
+    classes = dim_class.where("DESCRIPTION IS NOT NULL").groupBy(F.col("DESCRIPTION").alias("CLASS_ASSESSED_FINAL")).agg(
+        F.count("*").alias("classes"))
+    codes = fact.groupBy("FAC_TYPE_CODE", "CLASS_ASSESSED_FINAL").agg(F.count("*").alias("n"))
+    met = codes.join(types, "FAC_TYPE_CODE", "left").join(classes, "CLASS_ASSESSED_FINAL", "left")
+    n, code, klass = F.col("n"), F.col("FAC_TYPE_CODE"), F.col("CLASS_ASSESSED_FINAL")
+
+    def total(x):
+        return F.coalesce(F.sum(x), F.lit(0)).cast("long")
+
+    sums = met.agg(
+        total(n).alias("fact_rows"), total(n * F.coalesce("types", F.lit(1)) * F.coalesce("classes", F.lit(1))).alias("mart_rows"),
+        total(F.when(code.isNull(), n)).alias("type_missing"),
+        total(F.when(code.isNotNull() & F.col("types").isNull(), n)).alias("type_unknown"),
+        total(F.when(klass.isNull(), n)).alias("class_missing"),
+        total(F.when(klass.isNotNull() & F.col("classes").isNull(), n)).alias("class_unknown"))
+    return sums.withColumns({"repeated_types": scalar(types, F.count_if(F.col("types") > 1)),
+                             "repeated_classes": scalar(classes, F.count_if(F.col("classes") > 1))})
+
+
+#: Part of each stage's digest; raise it when a rule changes what a stage stores.
+RULES = 1
 
 
 def run_pipeline(spark: SparkSession, enforcement: DataFrame, lookup: DataFrame, narratives: DataFrame | None,
-                 out_dir: str, preset: Mapping = presets.HEALTH) -> dict[str, DataFrame]:
+                 out_dir: str, preset: Mapping = presets.HEALTH, database: str | None = None,
+                 resume: bool = True, strict: bool = True) -> dict[str, DataFrame]:
     """Whole run in one application: clean, store the star schema (fact, two
-    dims, narratives with keywords, enriched mart), validate, score, select,
-    explain.  Tables are written as Parquet under ``out_dir`` and returned as
-    read back, with ``validation`` (row and facility counts of the mart) and
-    ``preview`` (three of its rows)."""
-    from ..sources.tables import load_mart, write_table
-    out = {}
-
-    def store(name: str, df: DataFrame) -> DataFrame:
-        write_table(df, f"{out_dir}/{name}")
-        out[name] = load_mart(spark, f"{out_dir}/{name}")
+    dims, narratives with keywords, enriched mart), prove and validate the mart,
+    score, select, explain.
+
+    Tables go to a ``Warehouse`` under ``out_dir`` (and by name into
+    ``database``), each replaced as a whole, penalties and mart clustered by
+    facility.  They are returned as read back, with ``rejects`` (values of each
+    column that could not be read), ``validation`` (rows and facilities of the
+    mart and the counts of ``mart_proofs``) and ``preview`` (three of its rows).
+
+    Every table keeps a digest of the rows, settings and tables that it was made
+    from.  With ``resume`` a table whose digest is the same is taken as it is, so
+    a run after a failure starts at the first table that is missing, and changed
+    input makes all tables after it anew.  A dimension key that occurs more than
+    once raises before it multiplies rows, unless not ``strict``."""
+    wh, out = Warehouse(spark, out_dir, database), {}
+    settings = json.dumps([RULES, preset], sort_keys=True, default=str)
+    made: dict[str, str] = {}
+
+    def store(name: str, inputs: Sequence[str], make, key: str | None = None, schema=None, **facts) -> DataFrame:
+        made[name] = hashlib.sha256("\n".join([name, settings, *inputs]).encode()).hexdigest()
+        entry = wh.current(name) if resume else None
+        if entry is not None and entry.get("digest") == made[name]:
+            out[name] = wh.table(name, schema)
+        else:
+            out[name] = wh.replace(name, make(), key=key, schema=schema, digest=made[name], **facts)
         return out[name]
 
-    fact = store("fact_enforcement_actions", clean_enforcement(enforcement, preset))
+    counted = [f.name for f in schemas.ENFORCEMENT.fields if not isinstance(f.dataType, T.StringType)] + [*schemas.ENFORCEMENT_DATES]
+    seen: dict = {}
+
+    def clean_fact() -> DataFrame:
+        df, seen["fact"] = count_rejects(clean_with_rejects(enforcement, preset), counted)
+        # stored before it is clustered: the rows are counted once, and cleaned once
+        return materialize(check_schema(df, schemas.CLEAN_ENFORCEMENT))
+
+    fact = store("fact_enforcement_actions", [content_digest(enforcement)], clean_fact, "FACID", schemas.CLEAN_ENFORCEMENT,
+                 rejects=lambda: seen["fact"].get)
+    counts = wh.current("fact_enforcement_actions")["rejects"]
+    out["rejects"] = spark.createDataFrame([(c, counts[c]) for c in counted], "column string, rejected long")
     lk = materialize(clean_lookup(lookup))
+    given = [content_digest(lookup)]
     dim_fac, dim_class = dims(lk)
-    dim_fac, dim_class = store("dim_fac_code", dim_fac), store("dim_class_final", dim_class)
-    mart = store("enriched_mart", enrich_mart(fact, dim_fac, dim_class, dims_small=is_small(lk)))
-    out["validation"] = table_report(mart, "FACID")
+    dim_fac, dim_class = store("dim_fac_code", given, lambda: dim_fac), store("dim_class_final", given, lambda: dim_class)
+
+    proofs = mart_proofs(fact, dim_fac, dim_class).first()
+    if strict and proofs.repeated_types + proofs.repeated_classes:
+        raise ValueError(f"{proofs.repeated_types} facility types and {proofs.repeated_classes} classes occur more than once in the "
+                         f"lookup: {proofs.fact_rows} penalties would become {proofs.mart_rows} rows")
+    mart = store("enriched_mart", [made[n] for n in ("fact_enforcement_actions", "dim_fac_code", "dim_class_final")],
+                 lambda: enrich_mart(fact, dim_fac, dim_class, dims_small=is_small(lk)), "FACID", schemas.MART)
+    out["validation"] = table_report(mart, "FACID").select("*", *[F.lit(v).alias(c) for c, v in proofs.asDict().items()])
     out["preview"] = mart.limit(3)
     if narratives is not None:
-        store("fact_ltc_narratives", narrative_table(narratives))
-    scored = score_facilities(mart, preset)
-    sel = inspection_list(mart, scored, preset=preset)
-    store("inspection_list", sel)
-    store("attribution", attribution(scored))
+        store("fact_ltc_narratives", [content_digest(narratives)], lambda: narrative_table(narratives), schema=schemas.STORED_NARRATIVES)
+    scored = cache(lambda: score_facilities(mart, preset))
+    store("inspection_list", [made["enriched_mart"]], lambda: inspection_list(mart, scored(), preset=preset))
+    store("attribution", [made["enriched_mart"]], lambda: attribution(scored()))
     return out
 
 
@@ -275,27 +353,18 @@ def read_inputs(spark: SparkSession, enforcement: str, lookup: str, narratives:
     Headers are normalised (strip + upper) before the schema is applied, so
     exports with ``" facid "``-style headers load.  Narratives are delimited
     Latin-1 text with quoted multi-line fields.  A ``required`` column of an
-    input's schema must be there; any other missing one is NULL."""
-    from ..operators.filters import standardize_columns
-    from ..sources import schemas
-    from ..sources.quoted import scan_quoted
-    from ..sources.tables import read_table
-
-    def typed(df, schema):
-        df = standardize_columns(df)
-        missing = [c for c in required if c in schema.fieldNames() and c not in df.columns]
-        if missing:
-            raise ValueError(f"missing columns: {', '.join(missing)}")
-        return df.select(*[F.col(f.name).try_cast(f.dataType).alias(f.name) if f.name in df.columns
-                           else F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields])
-
-    def load(path, schema):
+    input's schema must be there; any other missing one is NULL.  Penalties keep
+    the text of values that are not of their column's type (``_RESCUED``)."""
+    def typed(df, schema, rescue=False):
+        return typed_scan(standardize_columns(df), schema, required, rescue)
+
+    def load(path, schema, rescue=False):
         if fmt == "csv":
             raw = spark.read.option("header", True).csv(path)  # all text; typed below
-            return typed(raw, schema)
-        return typed(read_table(spark, path, fmt=fmt), schema)
+            return typed(raw, schema, rescue)
+        return typed(read_table(spark, path, fmt=fmt), schema, rescue)
 
-    enf = load(enforcement, schemas.ENFORCEMENT)
+    enf = load(enforcement, schemas.ENFORCEMENT, True)
     lk = load(lookup, schemas.LOOKUP)
     narr = None
     if narratives is not None:

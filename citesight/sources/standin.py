@@ -98,6 +98,10 @@ def raw_enforcement(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("n_name").alias("DISTRICT_OFFICE"),
         F.when(_ln(3), F.concat(pnum, F.lit(" "))).otherwise(pnum).alias("PENALTY_NUMBER"),
         F.when(_ln(7), F.lit(BAD_DATE))
+         .when(_ln(3), F.date_format("l_shipdate", "yyyyMMdd"))
+         .when(_ln(4), F.date_format("l_shipdate", "yyyy/MM/dd"))
+         .when(_ln(5), F.date_format("l_shipdate", "d MMMM yyyy"))
+         .when(_ln(6), F.concat(F.date_format("l_shipdate", "M/d/yyyy"), F.lit(" 1:30 PM")))
          .otherwise(F.date_format("l_shipdate", "yyyy-MM-dd")).alias("PENALTY_ISSUE_DATE"),
         F.date_format("o_orderdate", "MM/dd/yyyy").alias("VIOLATION_FROM_DATE"),
         F.col("o_orderpriority").alias("PENALTY_TYPE"),

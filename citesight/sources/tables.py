@@ -12,6 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from .schemas import MART, check_schema
+
 
 def read_table(spark: SparkSession, path: str, schema: StructType | str | None = None,
                fmt: str = "parquet", columns: Sequence[str] | None = None, **options) -> DataFrame:
@@ -56,9 +58,10 @@ def write_text_table(df: DataFrame, path: str, mode: str = "overwrite", encoding
     df.write.mode(mode).options(header=True, escape='"', encoding=encoding).csv(path)
 
 
-def load_mart(spark: SparkSession, path: str) -> DataFrame:
-    """Scan of a stored mart."""
-    return spark.read.parquet(path)
+def load_mart(spark: SparkSession, path: str, schema: StructType | None = MART) -> DataFrame:
+    """Scan of a mart stored as Parquet; its columns must be those of ``schema``."""
+    df = spark.read.parquet(path)
+    return df if schema is None else check_schema(df, schema)
 
 
 def tpch(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
