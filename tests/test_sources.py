@@ -2,7 +2,7 @@
 
 from citesight import presets
 from citesight.plans import pipelines as pl
-from citesight.sources import read_table, read_text_table, standin, write_table, write_text_table
+from citesight.sources import read_table, read_text_table, schemas, standin, write_table, write_text_table
 from conftest import SF_SMALL
 
 
@@ -37,7 +37,7 @@ def test_run_pipeline(spark, tmp_path):
     assert 0 < len(sel) <= presets.INSPECTION_SLOTS
     imp = out["attribution"].collect()
     assert {r.stratum for r in imp} == {presets.STRATUM_HOSPITAL, presets.STRATUM_LTC}
-    assert out["fact_ltc_narratives"].columns == pl.NARRATIVE_TABLE
+    assert out["fact_ltc_narratives"].columns == schemas.STORED_NARRATIVES.fieldNames()
     assert out["fact_ltc_narratives"].count() == narr.count()
     v = out["validation"].first()
     assert v.row_count == out["fact_enforcement_actions"].count() and v.distinct_keys > 0
