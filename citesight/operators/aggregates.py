@@ -74,11 +74,13 @@ def value_share_within(df: DataFrame, by: str, col: str, values: Sequence | None
 
 
 def crosstab(df: DataFrame, row: str, col: str, values: Sequence | None = None) -> DataFrame:
-    """Counts of ``row`` x ``col``; missing cells are 0.  Passing ``values``
-    saves the extra job that discovers the pivot columns."""
-    base = _not_null(df, [row, col])
-    piv = base.groupBy(row).pivot(col, list(values) if values is not None else None).count()
-    return piv.na.fill(0)
+    """Counts of ``row`` x ``col``; missing cells are 0.  ``df`` is read once:
+    the grouped counts are stored, and give the columns unless ``values`` does."""
+    from ..session import materialize
+    counts = materialize(group_size(df, [row, col]))
+    if values is None:
+        values = [r[0] for r in counts.select(col).distinct().orderBy(col).collect()]
+    return counts.groupBy(row).pivot(col, list(values)).agg(F.sum("count")).na.fill(0)
 
 
 def crosstab_share(df: DataFrame, row: str, col: str, values: Sequence | None = None, top: int = 20) -> DataFrame:
