@@ -11,11 +11,13 @@ phrase's count.  Counts are summed across shards.
 Most phrases are rare, so a first pass sums the words and the pairs of
 neighbouring words in hash buckets.  Where a bucket's sum is below the least
 count, none of its phrases can reach it, and the index leaves the pair out: it
-splits the text there.  A longer phrase can only be as frequent as all its
-pairs are.  Sums are never too small, so no phrase is lost.  There are about
-half as many buckets as words, up to ``2 ** MAX_BUCKET_BITS``; more data means
-only that less is left out.  The buckets' bits are the one thing sent to all
-tasks: at most ``2 ** MAX_BUCKET_BITS / 8`` bytes, whatever the input.
+splits the text there.  A second pass sums the triples of pairs that are left in
+the same way; the index doesn't follow triples that cannot reach the count.  A
+longer phrase can only be as frequent as all its parts are.  Sums are never too
+small, so no phrase is lost.  There are about half as many buckets as words, up
+to ``2 ** MAX_BUCKET_BITS``; more data means only that less is left out.  The two
+tables of the buckets' bits are all that is sent to every task: each at most ``2
+** MAX_BUCKET_BITS / 8`` bytes, whatever the input.
 
 A phrase is scored at its weakest cut, by integers alone.  ``collocations``
 states the rules.
@@ -153,6 +155,13 @@ def _pairs(h: np.ndarray, ids: np.ndarray, bits: int) -> np.ndarray:
     return _bucket((a ^ a >> np.uint64(29)) * np.uint64(0xBF58476D1CE4E5B9) + b, bits)
 
 
+def _triples(h: np.ndarray, ids: np.ndarray, bits: int) -> np.ndarray:
+    """The bucket of each three neighbouring words."""
+    a, b, c = h[ids[:-2]], h[ids[1:-1]], h[ids[2:]]
+    a = (a ^ a >> np.uint64(31)) * np.uint64(0x94D049BB133111EB) + b
+    return _bucket((a ^ a >> np.uint64(27)) * np.uint64(0xD6E8FEB86659FD93) + c, bits)
+
+
 class FmIndex:
     """Intervals of phrases in the suffix order of ``words`` (numbers from 1,
     0 between stretches, in front and at the end) and of its reverse."""
@@ -177,8 +186,9 @@ class FmIndex:
         column = words[order - 1]  # the row of place 0 gets the last entry, a 0
         return column, np.sort(column * self.n + np.arange(self.n))
 
-    def phrases(self, depth: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """For 1, 2 .. ``depth``: the phrases (a row of word numbers each) and their counts."""
+    def phrases(self, depth: int, keep=None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """For 1, 2 .. ``depth``: the phrases (a row of word numbers each) and
+        their counts.  ``keep`` tells which phrases of a length to follow up."""
         word = np.flatnonzero(np.diff(self.first))
         word = word[word > 0]
         low = [self.first[word], self.first[word]]     # where the interval starts, in the text's and the reverse order
@@ -203,6 +213,9 @@ class FmIndex:
             low = [grown, other] if here == 0 else [other, grown]
             size = count
             text = np.concatenate([word[:, None], text[of]] if left else [text[of], word[:, None]], axis=1)
+            if keep is not None:
+                wanted = keep(text)
+                low, size, text = [x[wanted] for x in low], size[wanted], text[wanted]
             yield text, size
 
 
@@ -219,19 +232,25 @@ def _unpack(data: bytes) -> tuple[np.ndarray, np.ndarray]:
     return np.cumsum(gaps, dtype=np.int64), planes[4]
 
 
-def _bucket_sums(most: int, held: int, bits: int, enough: int):
+def _bucket_sums(most: int, held: int, bits: int, enough: int, pairs=None):
     """For each shard and slice of the buckets, the counts of its words and
-    pairs, none above ``enough``."""
+    pairs, none above ``enough``; given the table of ``pairs``, the counts of
+    triples of which both pairs may be frequent."""
     low = min(bits, SLICE_BITS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for lang, text, carried in shards(batches, most, held, 1):
+        for lang, text, carried in shards(batches, most, held, 1 if pairs is None else 2):
             ids, words, brk = numbered(text)
-            if not len(ids):
+            if len(ids) < (1 if pairs is None else 3):
                 continue
             h = _hashes(lang, words)
-            single = np.repeat(_bucket(h[1:], bits), np.minimum(np.bincount(ids[carried:], minlength=len(h))[1:], enough))
-            bucket, n = np.unique(np.concatenate([single, _pairs(h, ids, bits)[~brk[1:-1]]]), return_counts=True)
+            if pairs is None:
+                single = np.repeat(_bucket(h[1:], bits), np.minimum(np.bincount(ids[carried:], minlength=len(h))[1:], enough))
+                found = np.concatenate([single, _pairs(h, ids, bits)[~brk[1:-1]]])
+            else:
+                joined = ~brk[1:-1] & _has(pairs.value, _pairs(h, ids, bits))
+                found = _triples(h, ids, bits)[joined[:-1] & joined[1:]]
+            bucket, n = np.unique(found, return_counts=True)
             n = np.minimum(n, enough)
             cuts = np.searchsorted(bucket, np.arange((1 << bits - low) + 1) << low)
             full = np.flatnonzero(np.diff(cuts))
@@ -261,12 +280,12 @@ def bucket_bits(docs: DataFrame) -> int:
     return min(MAX_BUCKET_BITS, max(MIN_BUCKET_BITS, (size // 16).bit_length()))
 
 
-def frequent_buckets(docs: DataFrame, min_count: int, bits: int) -> np.ndarray:
-    """One bit for each bucket whose words and pairs together reach the count
-    (or 255, if that is less)."""
+def frequent_buckets(docs: DataFrame, min_count: int, bits: int, pairs=None) -> np.ndarray:
+    """One bit for each bucket whose words and pairs (given the table of
+    ``pairs``: triples) together reach the count, or 255, if that is less."""
     enough = max(1, min(min_count, 255))
     parts = max(1, 1 << bits >> SLICE_BITS)
-    sums = docs.mapInArrow(_bucket_sums(SHARD_BYTES, HELD_BYTES, bits, enough), "part long, sums binary")
+    sums = docs.mapInArrow(_bucket_sums(SHARD_BYTES, HELD_BYTES, bits, enough, pairs), "part long, sums binary")
     made = (sums.repartition(min(parts, shuffle_partitions(docs)), "part")
             .mapInArrow(_bits(bits, enough), "part long, bits binary"))
     table = np.zeros(max(1, (1 << bits) // 8), np.uint8)
@@ -291,7 +310,7 @@ def _stretches(ids: np.ndarray, joined: np.ndarray) -> np.ndarray:
     return out
 
 
-def _index_shards(table, most: int, held: int, bits: int, depth: int):
+def _index_shards(table, triples, most: int, held: int, bits: int, depth: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         full = table.value
 
@@ -319,10 +338,16 @@ def _index_shards(table, most: int, held: int, bits: int, depth: int):
             if len(ids) < 2:
                 continue
             joined = ~brk[1:-1] & _has(full, _pairs(h, ids, bits))
+
+            def keep(phrase, h=h):
+                if phrase.shape[1] != 3:
+                    return slice(None)
+                return _has(triples.value, np.concatenate([_triples(h, p.ravel(), bits)[::3] for p in np.array_split(
+                    phrase, -(-len(phrase) // 100_000))]) if len(phrase) else np.zeros(0, np.int64))
             for part, sign in ((joined, 1), (joined[:max(0, carried - 1)], -1)):  # the carried words were counted before
                 if not part.any():
                     continue
-                for phrase, n in FmIndex(_stretches(ids[:len(part) + 1], part), depth).phrases(depth):
+                for phrase, n in FmIndex(_stretches(ids[:len(part) + 1], part), depth).phrases(depth, keep):
                     if phrase.shape[1] > 1 and len(n):
                         yield rows(lang, words, phrase, sign * n)
     return run
@@ -336,7 +361,8 @@ def phrase_counts(docs: DataFrame, max_words: int = MAX_WORDS, min_count: int =
     docs = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), text_or_empty().alias("text"))
     bits = bucket_bits(docs) if bits is None else bits
     table = share(docs.sparkSession, frequent_buckets(docs, min_count, bits))
-    found = docs.mapInArrow(_index_shards(table, SHARD_BYTES, HELD_BYTES, bits, max_words),
+    triples = share(docs.sparkSession, frequent_buckets(docs, min_count, bits, table)) if max_words > 2 else None
+    found = docs.mapInArrow(_index_shards(table, triples, SHARD_BYTES, HELD_BYTES, bits, max_words),
                             "lang string, phrase string, m int, n long")
     return (found.groupBy("lang", "phrase", "m").agg(F.sum("n").alias("n"))
             .where((F.col("m") == 0) | (F.col("n") >= min_count)))
