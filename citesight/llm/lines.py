@@ -99,10 +99,8 @@ def _spans(h: Column, n: Column, p: Column) -> Column:
         lambda s: s["hash"].isNotNull())
 
 
-def repeated_lines(docs: DataFrame, window: int = WINDOW, whole_runs: bool = True) -> DataFrame:
-    """``_rk`` (row key) and ``_del``: positions (from 0) of the lines to delete.
-    Not ``whole_runs``: as ``ORACLE_SQL`` has it, with ``MIN_PAIR_CHARS`` asked
-    of each two lines of a run."""
+def repeated_lines(docs: DataFrame, window: int = WINDOW) -> DataFrame:
+    """``_rk`` (row key) and ``_del``: positions (from 0) of the lines to delete."""
     th, rk = _row_key()
     hashed = docs.where(F.col("text").isNotNull()).select(
         "doc_id", th.alias("_th"), rk.alias("_rk"), F.transform(lines(), hash60).alias("_h"),
@@ -111,8 +109,7 @@ def repeated_lines(docs: DataFrame, window: int = WINDOW, whole_runs: bool = Tru
     # an expression that each of its calls would evaluate again; for the same
     # reason explode_outer, from which no filter on its input is inferred
     hashed = hashed.withColumn("_g", _grams(F.col("_h"), F.col("_n")))
-    if whole_runs:
-        hashed = hashed.withColumn("_p", F.filter(F.transform("_n", lambda n, i: F.when(n > 0, i)), lambda i: i.isNotNull()))
+    hashed = hashed.withColumn("_p", F.filter(F.transform("_n", lambda n, i: F.when(n > 0, i)), lambda i: i.isNotNull()))
     hashed = materialize(hashed)
 
     def exploded(found: Column) -> DataFrame:
@@ -122,9 +119,7 @@ def repeated_lines(docs: DataFrame, window: int = WINDOW, whole_runs: bool = Tru
     h, n = F.col("_h"), F.col("_n")
     before = F.lag("i").over(Window.partitionBy("hash", "_rk").orderBy("i"))
     every = exploded(_fingerprints(h, n, F.col("_g"), window)).withColumn("_before", F.lit(None).cast("int"))
-    if whole_runs:
-        every = every.unionByName(exploded(_spans(h, n, F.col("_p"))).withColumn("_before", before))
-    every = materialize(every)
+    every = materialize(every.unionByName(exploded(_spans(h, n, F.col("_p"))).withColumn("_before", before)))
     fps = every.where("_before is null")
     again = every.where("_before is not null").select("_rk", F.col("_rk").alias("_ek"), (F.col("i") - F.col("_before")).alias("_d"))
     place = F.struct("doc_id", "_th", "i", "_rk")
@@ -141,9 +136,6 @@ def repeated_lines(docs: DataFrame, window: int = WINDOW, whole_runs: bool = Tru
     def equal(i: Column) -> Column:
         return F.coalesce(F.get("_h", i) == F.get(F.col("_eh"), i - F.col("_d")), F.lit(False))
 
-    def pair(i: Column) -> Column:
-        return equal(i) & equal(i + 1) & (F.get("_n", i) + F.get("_n", i + 1) >= MIN_PAIR_CHARS)
-
     def chars(r: Column) -> Column:
         return F.aggregate(F.slice("_n", r["a"] + 1, r["z"] - r["a"] + 1), F.lit(0).cast("bigint"), lambda t, n: t + n)
 
@@ -158,18 +150,16 @@ def repeated_lines(docs: DataFrame, window: int = WINDOW, whole_runs: bool = Tru
     ends = F.concat(F.array(lo - 1), F.filter(at, lambda i: ~equal(i)), F.array(hi + 1))
     # transform() over an array of one: its lambda reads the ends as a value
     in_runs = F.flatten(F.transform(F.flatten(F.transform(F.array(ends), runs)), lambda r: F.sequence(r["a"], r["z"])))
-    hit = F.filter(at, lambda i: equal(i) & ((F.get("_n", i) >= LONG_LINE) | pair(i) | pair(i - 1)))
-    if whole_runs:
-        hit = F.array_union(in_runs, F.filter(at, lambda i: equal(i) & (F.get("_n", i) >= LONG_LINE)))
+    hit = F.array_union(in_runs, F.filter(at, lambda i: equal(i) & (F.get("_n", i) >= LONG_LINE)))
     gone = x.select("_rk", F.explode_outer(hit).alias("_i")).where("_i is not null")
     return materialize(gone.groupBy("_rk").agg(F.collect_set("_i").alias("_del")))
 
 
-def dedup_lines(docs: DataFrame, window: int = WINDOW, whole_runs: bool = True) -> DataFrame:
+def dedup_lines(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """``docs`` with later repeated runs of lines taken out of ``text``;
     ``n_lines`` and ``n_deleted`` are added."""
     docs = docs.drop("n_lines", "n_deleted", "_rk", "_del", "_ls")
-    gone = repeated_lines(docs, window, whole_runs)
+    gone = repeated_lines(docs, window)
     # texts cross the join split into lines, so that taking one out by its
     # position below doesn't split the text again; the positions are the side
     # that is hashed, so texts are not sorted
@@ -196,17 +186,27 @@ w AS (SELECT *, lag(g) OVER d AS gp, lead(g) OVER d AS gn FROM g WHERE i < m WIN
 f AS (SELECT 2 AS kind, g AS hash, doc_id, th, i FROM w WHERE g <> {_NONE} AND (m = 2 OR g <= gp OR g < gn
     OR (n < {LONG_LINE} AND nn < {LONG_LINE} AND n + nn >= {LONG_LINE}))
   UNION ALL SELECT 1, h, doc_id, th, i FROM h WHERE n >= {LONG_LINE}),
-e AS (SELECT kind, hash, doc_id AS ed, th AS et, i AS ei FROM f
+b AS (SELECT *, row_number() OVER (PARTITION BY doc_id, th ORDER BY i) AS k
+  FROM (SELECT *, lead(n) OVER (PARTITION BY doc_id, th ORDER BY i) AS nx FROM h) WHERE n > 0),
+s AS (SELECT a.doc_id, a.th, a.i, b.i AS j, b.h, b.n, sum(b.n) OVER (PARTITION BY a.doc_id, a.th, a.i ORDER BY b.k) AS upto
+  FROM b a JOIN b ON b.doc_id IS NOT DISTINCT FROM a.doc_id AND b.th = a.th AND b.k BETWEEN a.k AND a.k + {MIN_PAIR_CHARS - 1}
+  WHERE a.n + a.nx < {MIN_PAIR_CHARS}),
+spans AS (SELECT doc_id, th, i, ('0x' || md5(string_agg('|' || h || '|' || (j - i), '' ORDER BY j))[1:15])::BIGINT AS hash
+  FROM s WHERE upto - n < {MIN_PAIR_CHARS} GROUP BY ALL HAVING max(upto) >= {MIN_PAIR_CHARS}),
+o AS (SELECT 3 AS kind, hash, doc_id, th, i, lag(i) OVER (PARTITION BY hash, doc_id, th ORDER BY i) AS before FROM spans),
+p AS (SELECT kind, hash, doc_id, th, i FROM f UNION ALL SELECT kind, hash, doc_id, th, i FROM o WHERE before IS NULL),
+e AS (SELECT kind, hash, doc_id AS ed, th AS et, i AS ei FROM p
   QUALIFY row_number() OVER (PARTITION BY kind, hash ORDER BY doc_id NULLS FIRST, th, i) = 1),
-x AS (SELECT DISTINCT doc_id, th, ed, et, i - ei AS d FROM f JOIN e USING (kind, hash)
-  WHERE NOT (doc_id IS NOT DISTINCT FROM ed AND th = et AND i = ei)),
+x AS (SELECT doc_id, th, ed, et, i - ei AS d FROM p JOIN e USING (kind, hash)
+  WHERE NOT (doc_id IS NOT DISTINCT FROM ed AND th = et AND i = ei)
+  UNION SELECT doc_id, th, doc_id, th, i - before FROM o WHERE before IS NOT NULL),
 q AS (SELECT x.doc_id, x.th, x.ed, x.et, x.d, a.i, a.n FROM x
   JOIN h a ON a.doc_id IS NOT DISTINCT FROM x.doc_id AND a.th = x.th
   JOIN h b ON b.doc_id IS NOT DISTINCT FROM x.ed AND b.th = x.et AND b.i = a.i - x.d AND b.h = a.h),
-r AS (SELECT *, lag(i) OVER s AS ip, lag(n) OVER s AS np, lead(i) OVER s AS inx, lead(n) OVER s AS nn FROM q
-  WINDOW s AS (PARTITION BY doc_id, th, ed, et, d ORDER BY i)),
-gone AS (SELECT DISTINCT doc_id, th, i FROM r WHERE n >= {LONG_LINE}
-  OR (ip = i - 1 AND np + n >= {MIN_PAIR_CHARS}) OR (inx = i + 1 AND n + nn >= {MIN_PAIR_CHARS})),
+r AS (SELECT *, i - row_number() OVER (PARTITION BY doc_id, th, ed, et, d ORDER BY i) AS run FROM q),
+z AS (SELECT *, count(*) OVER w AS run_lines, sum(n) OVER w AS run_chars FROM r WINDOW w AS (PARTITION BY doc_id, th, ed, et, d, run)),
+gone AS (SELECT DISTINCT doc_id, th, i FROM z
+  WHERE n >= {LONG_LINE} OR (run_lines > 1 AND run_chars >= {MIN_PAIR_CHARS})),
 k AS (SELECT l.doc_id, l.th, count(*) AS n_lines, count(gone.i) AS n_deleted,
   coalesce(string_agg(CASE WHEN gone.i IS NULL THEN ln END, chr(10) ORDER BY l.i), '') AS kept
   FROM l LEFT JOIN gone ON gone.doc_id IS NOT DISTINCT FROM l.doc_id AND gone.th = l.th AND gone.i = l.i GROUP BY 1, 2)
