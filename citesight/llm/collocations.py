@@ -318,18 +318,15 @@ def _index_shards(table, triples, most: int, held: int, bits: int, depth: int):
             names = pa.array([b"", *words], pa.binary())
             said = pc.binary_join_element_wise(
                 *(names.take(pa.array(text[:, k])) for k in range(text.shape[1])), b" ").cast(pa.string())
-            m = text.shape[1]
             return pa.RecordBatch.from_pydict({
-                "lang": pa.repeat(pa.scalar(lang, pa.string()), len(n)), "phrase": said,
-                "m": np.full(len(n), m, np.int32), "n": np.asarray(n, np.int64)})
+                "lang": pa.repeat(pa.scalar(lang, pa.string()), len(n)), "phrase": said, "n": np.asarray(n, np.int64)})
 
         for lang, text, carried in shards(batches, most, held, depth - 1):
             ids, words, brk = numbered(text)
             if not len(ids):
                 continue
             h = _hashes(lang, words)
-            yield pa.RecordBatch.from_pydict({"lang": [lang], "phrase": [""], "m": pa.array([0], pa.int32()),
-                                              "n": pa.array([len(ids) - carried], pa.int64())})
+            yield pa.RecordBatch.from_pydict({"lang": [lang], "phrase": [""], "n": pa.array([len(ids) - carried], pa.int64())})
             single = np.bincount(ids[carried:], minlength=len(words) + 1)
             own = np.flatnonzero((single > 0) & _has(full, _bucket(h, bits)))
             own = own[own > 0]
@@ -363,9 +360,10 @@ def phrase_counts(docs: DataFrame, max_words: int = MAX_WORDS, min_count: int =
     table = share(docs.sparkSession, frequent_buckets(docs, min_count, bits))
     triples = share(docs.sparkSession, frequent_buckets(docs, min_count, bits, table)) if max_words > 2 else None
     found = docs.mapInArrow(_index_shards(table, triples, SHARD_BYTES, HELD_BYTES, bits, max_words),
-                            "lang string, phrase string, m int, n long")
-    return (found.groupBy("lang", "phrase", "m").agg(F.sum("n").alias("n"))
-            .where((F.col("m") == 0) | (F.col("n") >= min_count)))
+                            "lang string, phrase string, n long")
+    words = F.when(F.col("phrase") == "", 0).otherwise(F.size(F.split("phrase", " ")))
+    return (found.groupBy("lang", "phrase").agg(F.sum("n").alias("n"))
+            .where((F.col("phrase") == "") | (F.col("n") >= min_count)).withColumn("m", words))
 
 
 def collocations(docs: DataFrame, max_words: int = MAX_WORDS, min_count: int = MIN_COUNT,
@@ -387,16 +385,17 @@ def collocations(docs: DataFrame, max_words: int = MAX_WORDS, min_count: int = M
     def sub(first, length):
         return F.array_join(F.slice("w", first, length), " ")
 
+    # the two parts are the phrase: no more than they cross the joins
     cuts = wide.withColumn("k", F.explode(F.sequence(F.lit(1), F.col("m") - 1))).select(
-        "lang", "whole", "a", "k", sub(F.lit(1), F.col("k")).alias("head"),
-        sub(F.col("k") + 1, F.col("m") - F.col("k")).alias("tail"))
+        "lang", "a", sub(F.lit(1), F.col("k")).alias("head"), sub(F.col("k") + 1, F.col("m") - F.col("k")).alias("tail"))
     for side, as_ in (("head", "l"), ("tail", "r")):
         cuts = cuts.join(parts.select("lang", F.col("phrase").alias(side), F.col("n").alias(as_)), ["lang", side])
     # 10^6 a a and l r in 38 digits: exact while counts are below 10^16 and 10^19
     a = F.col("a").cast("decimal(16,0)")
     over, under = a * a * F.lit(SCALE).cast("decimal(7,0)"), F.col("l").cast("decimal(19,0)") * F.col("r").cast("decimal(19,0)")
     cuts = cuts.withColumn("over", over.cast("decimal(38,0)")).withColumn("under", under.cast("decimal(38,0)"))
-    scored = (cuts.withColumn("score", F.expr("over div under")).groupBy("lang", "whole")
+    scored = (cuts.withColumn("score", F.expr("over div under")).withColumn("k", F.size(F.split("head", " ")))
+              .groupBy("lang", F.concat_ws(" ", "head", "tail").alias("whole"))
               .agg(F.min(F.struct("score", "k", "a", "l", "r")).alias("best")).select("lang", "whole", "best.*"))
     inner = [wide.where(F.col("m") > size).withColumn("at", F.explode(F.sequence(F.lit(1), F.col("m") - size + 1)))
              .select("lang", sub(F.col("at"), F.lit(size)).alias("whole"), F.col("a").alias("longer"))
