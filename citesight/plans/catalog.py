@@ -101,6 +101,18 @@ def q_profile_ltc(spark, sf):
     return _profile_out(profile.facility_profile(f, P["ltc_profile"]))
 
 
+@query("stored_profile")
+def q_stored_profile(spark, sf):
+    """The hospital profiles from a mart that is stored by name and clustered by facility."""
+    from ..session import scratch_path
+    from ..sources import schemas
+    from ..sources.warehouse import Warehouse
+    wh = Warehouse(spark, scratch_path(spark))
+    mart = wh.replace("enriched_mart", _mart(spark, sf), key="FACID", schema=schemas.MART)
+    f = pl.penalty_features(mart, P).where(F.col("IS_HOSPITAL") == 1)
+    return _profile_out(profile.facility_profile(f, P["hosp_profile"]))
+
+
 def _rate_cols(preset_key):
     counts = profile_columns(P[preset_key])
     return [rate_name(c) for c in counts] + ["appeal_rate", "complaint_rate_log", "balance_per_penalty"]

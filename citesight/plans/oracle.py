@@ -504,3 +504,5 @@ _MEASURED = ["TOTAL_AMOUNT_INITIAL", "TOTAL_AMOUNT_DUE_FINAL", "TOTAL_BALANCE_DU
 ORACLE["column_quantiles"] = BASE_MART + " UNION ALL ".join(
     f"\nSELECT '{c}' AS \"column\", CAST({q} AS DOUBLE) AS share, round(quantile_cont(CAST({c} AS DOUBLE), {q}), 6) AS value FROM mart"
     for c in _MEASURED for q in (0.0, 0.05, 0.25, 0.5, 0.75, 0.95, 1.0))
+
+ORACLE["stored_profile"] = ORACLE["profile_hosp"]
