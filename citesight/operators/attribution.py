@@ -133,19 +133,21 @@ def _leaf_tables(fval: np.ndarray, B: np.ndarray) -> np.ndarray:
     m = 1 << p
     pats = np.arange(m)
     A = ((pats[:, None] >> np.arange(p)[None, :]) & 1).astype(float)  # (m, p)
+    # pattern by pattern: setting bit j turns its factor b_j into b_j + t, so
+    # each bit doubles the patterns that are known
     poly = np.zeros((n_leaves, m, p + 1))
-    poly[:, :, 0] = 1.0
+    poly[:, 0, 0] = B.prod(axis=1)
     for j in range(p):
-        shifted = np.zeros_like(poly)
-        shifted[:, :, 1:] = poly[:, :, :-1]
-        poly = poly * B[:, j][:, None, None] + shifted * A[:, j][None, :, None]
+        known, new = poly[:, :1 << j, :j + 2], poly[:, 1 << j:2 << j, :j + 2]
+        new[:] = known
+        new[:, :, 1:] += known[:, :, :-1] / B[:, j][:, None, None]
     w = np.array([factorial(k) * factorial(p - 1 - k) / factorial(p) for k in range(p)])
     T = poly[:, :, :p] @ w                                            # (L, m)
+    T *= fval[:, None]
     out = np.empty((n_leaves, m, p))
     for i in range(p):
-        cleared = pats & ~(1 << i)
         b = B[:, i][:, None]
-        out[:, :, i] = fval[:, None] * (A[:, i][None, :] - b) * T[:, cleared] / b
+        np.multiply(T[:, pats & ~(1 << i)], np.where(A[:, i][None, :] == 1, 1 / b - 1, -1.0), out=out[:, :, i])
     return out
 
 
@@ -202,7 +204,7 @@ def feature_importance(model: IsolationForestModel, df: DataFrame, rows_per_task
             yield pd.DataFrame({"feature": feats, "sum_abs": np.abs(phi).sum(axis=0),
                                 "n": np.full(nf, X.shape[0], dtype=np.int64)})
 
-    # Each task tabulates every tree once (~3 s for 300 trees), so tasks get
+    # Each task tabulates every tree once (some 2 s for 300 trees), so tasks get
     # 2,000-20,000 rows: enough to spread over the cores, and enough rows to
     # amortise the tables on a large input.
     src = df.select(*feats)
