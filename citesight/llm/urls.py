@@ -4,8 +4,9 @@ Labelled page outcomes (bad = toxic or low quality) are counted per host,
 registered domain and suffix.  Each level's posterior mean is the prior mean
 of the level below (all pages -> suffix -> domain -> host); the prior's
 strength comes from the spread between the groups of a level (method of
-moments).  A page is blocked when the lower bound of its host's posterior bad
-rate is above ``threshold``.
+moments).  A page is blocked when its host is surely worse than most: when the
+lower bound of the host's posterior bad rate is above ``lift`` times the rate of
+all labelled pages (``CERTAIN`` at most, so that it can be reached).
 
 Counts are partial aggregates, so a host with a third of all pages is one row a
 task; statistics of a level are one row.
@@ -30,7 +31,8 @@ RULES = (("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com"
 #: Suffixes of two labels under which domains are registered.
 SUFFIXES = ("co.uk", "org.uk", "ac.uk", "com.au", "co.jp", "com.br", "co.nz", "co.in")
 Z = 1.645
-THRESHOLD = 0.5
+LIFT = 1.5
+CERTAIN = 0.9
 STRENGTH = (2.0, 1000.0)
 _UP, _LOW = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -79,7 +81,7 @@ def _strength(groups: DataFrame) -> float:
 
 def host_reputation(pages: DataFrame, outcomes: DataFrame) -> DataFrame:
     """``pages`` (page_id, host) and ``outcomes`` (page_id, bad) -> one row per
-    host: ``host, n, bad, bad_rate, bad_lower``."""
+    host: ``host, n, bad, bad_rate, bad_lower`` and ``overall``, the rate of all."""
     said = outcomes.groupBy("page_id").agg(F.max(F.col("bad").cast("int")).alias("bad"))
     judged = pages.join(said, "page_id", "left")
     hosts = judged.groupBy("host").agg(F.count("bad").alias("n"), F.coalesce(F.sum("bad"), F.lit(0)).alias("bad"))
@@ -101,17 +103,18 @@ def host_reputation(pages: DataFrame, outcomes: DataFrame) -> DataFrame:
         domains.select("suffix", "domain", F.col("rate").alias("prior")), ["suffix", "domain"])))
     size = F.col("n") + F.col("_s")
     sd = F.sqrt(F.col("rate") * (1 - F.col("rate")) / (size + 1))
-    return known.select("host", "n", "bad", F.col("rate").alias("bad_rate"), (F.col("rate") - Z * sd).alias("bad_lower"))
+    return known.select("host", "n", "bad", F.col("rate").alias("bad_rate"), (F.col("rate") - Z * sd).alias("bad_lower"),
+                        level.alias("overall"))
 
 
 def filter_urls(pages: DataFrame, outcomes: DataFrame, rules: Sequence[tuple[str, str, str]] = RULES,
-                threshold: float = THRESHOLD) -> DataFrame:
+                lift: float = LIFT) -> DataFrame:
     """``page_id, host, path, rule, verdict, bad_lower`` of every page."""
     host, path = host_and_path()
     p = pages.select("page_id", host.alias("host"), path.alias("path"))
-    rep = materialize(host_reputation(p.select("page_id", "host"), outcomes).select("host", "bad_lower"))
+    rep = materialize(host_reputation(p.select("page_id", "host"), outcomes).select("host", "bad_lower", "overall"))
     rule, verdict = matching_rule(F.col("host"), F.col("path"), rules)
-    own = F.when(F.col("bad_lower") > threshold, "block").otherwise("allow")
+    own = F.when(F.col("bad_lower") > F.least(F.lit(lift) * F.col("overall"), F.lit(CERTAIN)), "block").otherwise("allow")
     return p.join(rep, "host", "left").select(
         "page_id", "host", "path", rule.alias("rule"), F.coalesce(verdict, own).alias("verdict"),
         F.round("bad_lower", 6).alias("bad_lower"))
@@ -149,10 +152,10 @@ d1 AS {_shrunk('d0')},
 h0 AS (SELECT host, h.n::DOUBLE AS n, h.bad::DOUBLE AS bad, d1.rate AS prior FROM h JOIN d1 USING (suffix, domain)),
 h1 AS {_shrunk('h0')},
 v AS (SELECT page_id, host, path, rate - {Z}::DOUBLE * sqrt(rate * (1 - rate) / (n + s + 1)) AS bad_lower,
-  CASE
+  (SELECT any_value(prior) FROM s0) AS overall, CASE
 {_FIT}
   END AS fit FROM p LEFT JOIN h1 USING (host))
 SELECT page_id, host, path, split_part(fit, '|', 1) AS rule,
-  coalesce(split_part(fit, '|', 2), CASE WHEN bad_lower > {THRESHOLD} THEN 'block' ELSE 'allow' END) AS verdict,
+  coalesce(split_part(fit, '|', 2), CASE WHEN bad_lower > least({LIFT}::DOUBLE * overall, {CERTAIN}::DOUBLE) THEN 'block' ELSE 'allow' END) AS verdict,
   round(bad_lower, 6) AS bad_lower
 FROM v"""
