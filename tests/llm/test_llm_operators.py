@@ -6,6 +6,7 @@ from itertools import chain
 
 import duckdb
 import numpy as np
+import pandas as pd
 import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
@@ -50,7 +51,7 @@ def oracle(name):
 
 def plain(df):
     cols = sorted(df.columns)
-    return sorted(tuple("~" if v is None or v != v else round(float(v), 6) if isinstance(v, (float, int, np.number)) else str(v)
+    return sorted(tuple("~" if v is None or v is pd.NA or v != v else round(float(v), 6) if isinstance(v, (float, int, np.number)) else str(v)
                         for v in r) for r in df[cols].astype(object).itertuples(index=False, name=None))
 
 
