@@ -65,7 +65,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if not current and sc is not None:
         current = sc.getCheckpointDir()
     if not current:
-        if sc is not None and not sc.master.startswith("local"):
+        if sc is None or not sc.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         current = tempfile.mkdtemp(prefix="citesight-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
         spark.conf.set("spark.checkpoint.dir", current)

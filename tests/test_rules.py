@@ -60,3 +60,14 @@ def test_missing_input_column_is_an_error(spark, tmp_path):
         f.write("FACID,NOT_A_COLUMN\n1,2\n")
     with pytest.raises(ValueError, match="missing columns"):
         read_inputs(spark, p, p, required=("FACID", "PENALTY_NUMBER"))
+
+
+def test_a_session_without_context_must_name_the_shared_folder():
+    class Conf:
+        def get(self, key, default=None):
+            return default
+
+    class Remote:
+        conf = Conf()
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session.ensure_checkpoint_dir(Remote())
