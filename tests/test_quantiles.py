@@ -57,3 +57,13 @@ def test_jobs_do_not_grow_with_the_columns(spark):
         jobs.append(len(spark.sparkContext.statusTracker().getJobIdsForGroup(f"quantiles-{k}")))
     spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
     assert jobs[1] <= jobs[0] + 2
+
+
+def test_ranks_between_the_same_bounds_are_counted_once(spark, monkeypatch):
+    asked = []
+    count = quantiles._counter
+    monkeypatch.setattr(quantiles, "_counter", lambda spans: asked.append([s[:3] for s in spans]) or count(spans))
+    df = spark.range(1, 5001).select(F.col("id").cast("double").alias("x"))
+    qs = [i / 100 for i in range(101)]
+    assert np.allclose(exact_quantiles(df, {"x": qs})["x"], np.percentile(np.arange(1, 5001), [100 * q for q in qs]))
+    assert len(asked[0]) == 1 and all(len(set(spans)) == len(spans) for spans in asked)
