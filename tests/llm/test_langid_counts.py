@@ -106,3 +106,36 @@ def test_texts_in_no_known_language_go(spark):
     kept = langid.identify(docs.where("lang is not null"), model, ["doc_id"]).agg(
         F.avg(F.col("accepted").cast("int")).alias("a"), F.count("*").alias("n")).first()
     assert kept.a * kept.n >= kept.n - 1
+
+
+def test_every_text_is_calibrated_on(spark, monkeypatch):
+    monkeypatch.setattr(langid, "CALIBRATE_DOCS", 10, raising=False)  # no sample is taken any more
+    rng = np.random.default_rng(4)
+    words = {"en": ["the", "cat", "sat", "on", "mat", "house", "and", "with"], "de": ["der", "hund", "und", "katze", "haus", "mit", "auf"]}
+    rows = [(" ".join(rng.choice(w, rng.integers(1, 30))), lang) for lang, w in words.items() for _ in range(300)]
+    rows += rows[:50] + [("123", "en")]  # copies count once, texts without letters not at all
+    model = langid.fit(spark.createDataFrame(rows, "text string, lang string").repartition(3))
+    once = sorted(set(rows[:-1]))
+    table = model["table"]
+    truth = np.array([model["langs"].index(lang) for _, lang in once])
+    h, n = langid._entropies(pa.array([t for t, _ in once]), model)
+    out = []
+    for (text, _), lang in zip(once, truth):  # each text alone, every trigram that only it has taken as unseen
+        key, index, _, _ = langid._trigrams([(0, text, False)], table)
+        times, p = np.bincount(index, minlength=len(key)), langid._languages(model)[lang]
+        out.append(-(p.log_prob(key, times >= langid._look(p.k3, p.n3, key, 0.0)) * times).sum() / len(index))
+    out = np.array(out)
+
+    def loss(heat):
+        return -np.log(np.maximum(langid._scores(h, n, heat)[1][np.arange(len(truth)), truth], 1e-9)).mean()
+    assert model["heat"] == min(langid.HEATS, key=loss)
+    best, p = langid._scores(h, n, model["heat"])
+    sure = best == truth
+    assert np.isclose(model["threshold"], (min(0.5, np.quantile(p.max(axis=1)[sure], langid.FALSE_REJECT)) + 0.5) / 2)
+    for k in range(2):
+        limits = []
+        for band in range(3):
+            own = (truth == k) & sure & (langid._band(n) == band)
+            x = out[own if own.sum() >= langid.FEW else (truth == k) & sure]
+            limits.append(2 * np.quantile(x, 1 - langid.FALSE_REJECT) - np.median(x))
+        assert np.allclose(model["limits"][k], np.maximum.accumulate(limits[::-1])[::-1], rtol=1e-5)
