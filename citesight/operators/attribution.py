@@ -10,8 +10,9 @@ follow those splits) otherwise.  Each leaf is therefore a product game, whose
 Shapley values have a closed form through the polynomial
 ``prod_{j != i} (b_j + a_j t)``.  Since the ``a_j`` are 0/1, a leaf with p
 features has only ``2**p`` possible rows patterns: the per-pattern values are
-tabulated once per tree (independent of the number of rows) and each row
-just looks its pattern up.  Padding a short path with null players
+tabulated once per tree (independent of the number of rows), summed over the
+leaves of a small subtree for each outcome of its splits, and each row
+just looks one sum up per subtree.  Padding a short path with null players
 (``a = b = 1``) keeps every leaf of a tree in one array without changing any
 value.
 
@@ -32,92 +33,117 @@ from pyspark.sql import functions as F
 from .forest import ForestArrays, IsolationForestModel, average_path_length
 
 
+#: A group's path features and inner splits are at most this many together (a
+#: leaf on its own may have more path features), so its table stays in a cache.
+GROUP_BITS = 9
+
+
 class _TreeTables:
-    """Per-tree leaf tables for Shapley look-ups."""
+    """Per-tree tables for Shapley look-ups.
+
+    The leaves below a node form a group.  A row's part of a group is fixed by
+    one code: a bit for each feature on the path to the group's root (does the
+    row follow the path at every split on it) and a bit for each split inside.
+    Each bit depends on one feature, so a row's codes are sums of one row a
+    feature, looked up by where its value lies among the tree's thresholds."""
 
     def __init__(self, forest: ForestArrays, t: int, n_features: int):
-        feat = forest.feature[t]
-        left, right, size, depth = forest.left[t], forest.right[t], forest.size[t], forest.depth[t]
+        size = forest.size[t]
         n_nodes = int(np.sum(size > 0))
-        parent = np.full(n_nodes, -1)
-        went_left = np.zeros(n_nodes, dtype=bool)
-        internal = [u for u in range(n_nodes) if feat[u] >= 0]
-        for u in internal:
-            parent[left[u]] = u
-            parent[right[u]] = u
-            went_left[left[u]] = True
-        leaves = [u for u in range(n_nodes) if feat[u] < 0]
-        col_of = {u: i for i, u in enumerate(internal)}
-        paths = []
-        for leaf in leaves:
-            slots: dict[int, int] = {}
-            b: list[float] = []
-            entries = []
-            child = leaf
-            while parent[child] >= 0:
-                u = parent[child]
-                f = int(feat[u])
-                if f not in slots:
-                    slots[f] = len(b)
-                    b.append(1.0)
-                s = slots[f]
-                b[s] *= size[child] / size[u]
-                entries.append((s, col_of[u], bool(went_left[child])))
-                child = u
-            paths.append((slots, b, entries))
-        p = max([len(b) for _, b, _ in paths] + [1])
-        n_leaves = len(leaves)
-        B = np.ones((n_leaves, p))
-        feat_of = np.full((n_leaves, p), -1)
-        ent_leaf, ent_slot, ent_col, ent_dir = [], [], [], []
-        for li, (slots, b, entries) in enumerate(paths):
-            B[li, :len(b)] = b
-            for f, s in slots.items():
-                feat_of[li, s] = f
-            for s, c, d in entries:
-                ent_leaf.append(li)
-                ent_slot.append(s)
-                ent_col.append(c)
-                ent_dir.append(d)
+        feat, left, right = (a[t][:n_nodes].tolist() for a in (forest.feature, forest.left, forest.right))
+        threshold, sizes = forest.threshold[t][:n_nodes], size[:n_nodes].tolist()
+        # distinct features on the path to a node, from the root on, with the share of rows that follows their splits
+        slots: list[dict[int, float]] = [{} for _ in range(n_nodes)]
+        entries: list[tuple] = [() for _ in range(n_nodes)]   # (node, went left) from the root on
+        inner = [0] * n_nodes                                 # splits below a node, itself included
+        order, stack = [], [0]
+        while stack:
+            u = stack.pop()
+            order.append(u)
+            if feat[u] >= 0:
+                for child, to_left in ((left[u], True), (right[u], False)):
+                    follows = dict(slots[u])
+                    follows[feat[u]] = follows.get(feat[u], 1.0) * (sizes[child] / sizes[u])
+                    slots[child], entries[child] = follows, entries[u] + ((u, to_left),)
+                    stack.append(child)
+        for u in reversed(order):
+            if feat[u] >= 0:
+                inner[u] = 1 + inner[left[u]] + inner[right[u]]
+        leaves = [u for u in order if feat[u] < 0]
+        p = max([len(slots[u]) for u in leaves] + [1])
+        B = np.ones((len(leaves), p))
+        for i, u in enumerate(leaves):
+            B[i, :len(slots[u])] = list(slots[u].values())
         leaf_ix = np.array(leaves, dtype=int)
-        fval = depth[leaf_ix] + average_path_length(size[leaf_ix])
-        self.p = p
-        self.n_leaves = n_leaves
-        self.int_feature = feat[internal].astype(int)
-        self.int_threshold = forest.threshold[t][internal]
+        fval = forest.depth[t][leaf_ix] + average_path_length(size[leaf_ix])
         self.expected = float(np.sum(fval * size[leaf_ix]) / size[0])
-        # path entries grouped by leaf; a failed split clears its slot's bit
-        leaf_arr = np.array(ent_leaf, dtype=int)
-        order = np.argsort(leaf_arr, kind="stable")
-        self.ent_col = np.array(ent_col, dtype=int)[order]
-        self.ent_dir = np.array(ent_dir, dtype=bool)[order]
-        self.ent_bit = (np.int64(1) << np.array(ent_slot, dtype=np.int64))[order]
-        lsorted = leaf_arr[order]
-        if lsorted.size:
-            self.starts = np.flatnonzero(np.r_[True, lsorted[1:] != lsorted[:-1]])
-            self.leaf_of_run = lsorted[self.starts]
-        else:
-            self.starts = np.zeros(0, dtype=int)
-            self.leaf_of_run = np.zeros(0, dtype=int)
-        self.full = (1 << p) - 1
-        # one-hot map (leaf, slot) -> feature
-        M = np.zeros((n_leaves * p, n_features))
-        flat = feat_of.reshape(-1)
-        ok = flat >= 0
-        M[np.flatnonzero(ok), flat[ok]] = 1.0
-        self.M = M
-        self.table = _leaf_tables(fval, B)
-
-    def rows(self, X: np.ndarray) -> np.ndarray:
-        """Shapley values (n x features) of this tree for the rows of X."""
-        n = X.shape[0]
-        bits = np.full((n, self.n_leaves), self.full, dtype=np.int64)
-        if self.starts.size:
-            G = X[:, self.int_feature] <= self.int_threshold
-            failed = np.where(G[:, self.ent_col] != self.ent_dir, self.ent_bit, 0)
-            bits[:, self.leaf_of_run] &= ~np.bitwise_or.reduceat(failed, self.starts, axis=1)
-        contrib = self.table[np.arange(self.n_leaves)[None, :], bits]
-        return contrib.reshape(n, -1) @ self.M
+        leaf_table, leaf_no = _leaf_tables(fval, B), {u: i for i, u in enumerate(leaves)}
+
+        splits: dict[int, list[int]] = {}
+        for u in order:
+            if feat[u] >= 0:
+                splits.setdefault(feat[u], []).append(u)
+        self.cuts = {f: np.unique(threshold[us]) for f, us in splits.items()}
+        # of each split, by the place of a row's value among the cuts: does the row go left
+        goes_left = {u: np.arange(len(c) + 1) <= np.searchsorted(c, threshold[u])
+                     for f, c in self.cuts.items() for u in splits[f]}
+
+        groups, stack = [], [0]
+        while stack:
+            u = stack.pop()
+            if feat[u] < 0 or len(slots[u]) + inner[u] <= GROUP_BITS:
+                groups.append(u)
+            else:
+                stack += [left[u], right[u]]
+        kind = np.uint16 if max(len(slots[u]) + inner[u] for u in groups) <= 16 else np.int64
+        self.codes = {f: np.zeros((len(c) + 1, len(groups)), kind) for f, c in self.cuts.items()}
+        self.tables = []
+        full = (1 << p) - 1
+        for g, root in enumerate(groups):
+            at = {f: i for i, f in enumerate(slots[root])}
+            follows: dict[int, np.ndarray] = {}
+            for u, to_left in entries[root]:
+                follows[feat[u]] = follows.get(feat[u], True) & (goes_left[u] == to_left)
+            for f, a in follows.items():
+                self.codes[f][:, g] += a.astype(kind) << kind(at[f])
+            known, below, stack = len(at), [], [root]
+            bit = {}
+            while stack:
+                u = stack.pop()
+                if feat[u] < 0:
+                    below.append(u)
+                    continue
+                bit[u] = known + len(bit)
+                self.codes[feat[u]][:, g] += goes_left[u].astype(kind) << kind(bit[u])
+                stack += [left[u], right[u]]
+            code = np.arange(1 << (known + len(bit)))
+            path = (code & ((1 << known) - 1)) | (full & ~((1 << known) - 1))
+            said = {u: (code >> b) & 1 for u, b in bit.items()}
+            table = np.zeros((len(code), n_features))
+            for u in below:
+                slot = {f: i for i, f in enumerate(slots[u])}
+                pattern = path
+                for v, to_left in entries[u][len(entries[root]):]:
+                    off = 1 - said[v] if to_left else said[v]    # a failed split clears its feature's bit
+                    pattern = pattern & ~(off << slot[feat[v]])
+                if slot:
+                    table[:, list(slot)] += leaf_table[leaf_no[u]][pattern, :len(slot)]
+            self.tables.append(table)
+
+    def rows(self, X: np.ndarray, columns: np.ndarray | None = None) -> np.ndarray:
+        """Shapley values (n x features) of this tree for the rows of X
+        (``columns``: X by column, if the caller has it)."""
+        columns = np.ascontiguousarray(X.T) if columns is None else columns
+        code = 0
+        for f, cuts in self.cuts.items():
+            code = code + self.codes[f].take(np.searchsorted(cuts, columns[f]), axis=0)
+        phi = np.zeros((X.shape[0], self.tables[0].shape[1]))
+        if not self.cuts:
+            return phi
+        part = np.empty_like(phi)
+        for table, c in zip(self.tables, np.ascontiguousarray(code.T).astype(np.intp)):
+            phi += table.take(c, axis=0, out=part, mode="clip")
+        return phi
 
 
 def _leaf_tables(fval: np.ndarray, B: np.ndarray) -> np.ndarray:
@@ -159,17 +185,19 @@ def shap_values(forest: ForestArrays, X: np.ndarray, n_features: int | None = No
     the rows in chunks, so memory stays bounded."""
     nf = n_features or X.shape[1]
     phi = np.zeros((X.shape[0], nf))
+    starts = range(0, X.shape[0], chunk_rows)
+    columns = [np.ascontiguousarray(X[start:start + chunk_rows].T) for start in starts]
     expected = 0.0
     for t in range(forest.n_trees):
         tt = _TreeTables(forest, t, nf)
         expected += tt.expected
-        for start in range(0, X.shape[0], chunk_rows):
-            phi[start:start + chunk_rows] += tt.rows(X[start:start + chunk_rows])
+        for start, by_column in zip(starts, columns):
+            phi[start:start + chunk_rows] += tt.rows(X[start:start + chunk_rows], by_column)
     return phi / forest.n_trees, expected / forest.n_trees
 
 
 #: Rows that a task holds at once; the trees are tabulated again for the next ones.
-CHUNK_ROWS = 20_000
+CHUNK_ROWS = 100_000
 
 
 def chunks(batches: Iterable[pd.DataFrame], feats: Sequence[str], rows: int = CHUNK_ROWS) -> Iterator[np.ndarray]:
@@ -204,9 +232,9 @@ def feature_importance(model: IsolationForestModel, df: DataFrame, rows_per_task
             yield pd.DataFrame({"feature": feats, "sum_abs": np.abs(phi).sum(axis=0),
                                 "n": np.full(nf, X.shape[0], dtype=np.int64)})
 
-    # Each task tabulates every tree once (some 2 s for 300 trees), so tasks get
-    # 2,000-20,000 rows: enough to spread over the cores, and enough rows to
-    # amortise the tables on a large input.
+    # Each task tabulates every tree once (some 3 s for 300 trees; 10,000 rows
+    # take as long), so tasks get 10,000-100,000 rows: enough to spread over the
+    # cores, and enough rows to amortise the tables on a large input.
     src = df.select(*feats)
     n_rows = src.count()
     try:
@@ -214,7 +242,7 @@ def feature_importance(model: IsolationForestModel, df: DataFrame, rows_per_task
         have = src.rdd.getNumPartitions()
     except Exception:  # noqa: BLE001 - Spark Connect: no RDD view
         par, have = 8, None
-    per_task = rows_per_task or max(2000, min(CHUNK_ROWS, -(-n_rows // max(par, 1))))
+    per_task = rows_per_task or max(10_000, min(CHUNK_ROWS, -(-n_rows // max(par, 1))))
     tasks = max(1, -(-n_rows // per_task))
     if have is None or tasks > have:
         src = src.repartition(tasks)

@@ -7,7 +7,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
 
-from citesight.operators.attribution import chunks, shap_values
+from citesight.operators.attribution import GROUP_BITS, _TreeTables, chunks, shap_values
 from citesight.operators.forest import ForestArrays, IsolationForest, average_path_length, grow_tree
 
 
@@ -107,6 +107,28 @@ def test_shap_additivity_and_brute_force():
         assert np.allclose(brute_force_shap(forest, X[r]), phi[r])
 
 
+def test_shapley_tables_do_not_grow_with_rows_times_leaves():
+    """A row looks up one sum per group of leaves, far fewer than leaves; NaN and infinite values go right or left as in scoring."""
+    rng = np.random.default_rng(3)
+    X = rng.normal(size=(600, 6))
+    X[0, 1], X[1, 2], X[2, 3] = np.nan, np.inf, -np.inf
+    X[:, 5] = 1.0
+    parts = []
+    for t in range(3):
+        tree = grow_tree(X[10:266], np.random.default_rng([5, t]), 8)
+        k = len(tree["feature"])
+        parts.append(pd.DataFrame({"tree": np.full(k, t), "node": np.arange(k), **tree}))
+    forest = ForestArrays.from_nodes(pd.concat(parts), 256, 8)
+    phi, ev = shap_values(forest, X, 6, chunk_rows=250)
+    assert np.allclose(phi.sum(axis=1) + ev, forest.path_length(X))
+    assert (phi[:, 5] == 0).all()
+    for t in range(3):
+        leaves = int(((forest.feature[t] < 0) & (forest.size[t] > 0)).sum())
+        tables = _TreeTables(forest, t, 6).tables
+        assert leaves > 40 and len(tables) < leaves / 2
+        assert all(len(x) <= 1 << GROUP_BITS for x in tables)
+
+
 def test_attribution_reads_partitions_in_bounded_arrays():
     parts = [pd.DataFrame({"a": np.arange(n, dtype=float), "b": 0.0}) for n in (3, 0, 25, 1)]
     got = list(chunks(iter(parts), ["a", "b"], rows=10))
