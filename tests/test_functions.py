@@ -95,3 +95,15 @@ def test_safe_div_zero(spark):
 def test_quota(spark):
     got = one(spark, [(0, 10), (10, 10), (1, 100), (0, 0)], "h long, t long", quota("h", "t", 25))
     assert got == [1, 25, 1, 1]
+
+
+def test_plain_dates_need_no_formatter(spark):
+    from citesight.functions import parse_date
+    said = {"1/2/2020": "2020-01-02", "02/29/2020": "2020-02-29", "2/29/2021": None, "31/31/2020": None, "0/1/2020": None,
+            "1/2/2020\n": None, " 20201231 ": "2020-12-31", "20201301": None, "20200101\n": None, "2020/1/2": "2020-01-02",
+            "2020/02/30": None, "1/1/0000": "0000-01-01", "1/2/69": "1969-01-02", "1-2-2020": "2020-01-02", "1/2": None, "/": None}
+    df = spark.createDataFrame(list(said.items()), "t string, want string").withColumn("d", parse_date("t"))
+    got = {r.t: r.d for r in df.select("t", F.date_format("d", "yyyy-MM-dd").alias("d")).collect()}
+    assert got == said
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert "yyyyMMdd" not in plan and "yyyy/M/d" not in plan

@@ -223,3 +223,16 @@ def test_impute_and_scale_equals_two_steps(spark):
     two = profile.standard_scale(profile.impute_median(df, ["a", "b"]), ["a", "b"]).collect()
     assert [(round(r.a, 12), r.b) for r in one] == [(round(r.a, 12), r.b) for r in two]
     assert all(r.b == 0.0 for r in one)
+
+
+def test_counts_per_year_makes_the_date_once(spark):
+    from citesight.functions import parse_date
+    rows = spark.createDataFrame([(1, "1/2/2020"), (1, "2020-05-01"), (2, "31/31/2020"), (2, None), (1, "20190101"), (3, "2019/1/1")],
+                                 "k int, t string")
+    keys = spark.createDataFrame([(1,), (2,)], "j int")
+    # the joined rows' date: a filter on it would be pushed below the join and make the date there too
+    joined = rows.join(keys, F.col("k") == F.col("j")).select(parse_date("t").alias("d"))
+    out = agg.counts_per_year(joined, "d")
+    assert [tuple(r) for r in out.collect()] == [(2019, 1), (2020, 2)]
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert sum("try_cast" in line.lower() or "element_at(transform" in line for line in plan.splitlines()) == 1
