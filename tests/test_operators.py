@@ -236,3 +236,24 @@ def test_counts_per_year_makes_the_date_once(spark):
     assert [tuple(r) for r in out.collect()] == [(2019, 1), (2020, 2)]
     plan = out._jdf.queryExecution().optimizedPlan().toString()
     assert sum("try_cast" in line.lower() or "element_at(transform" in line for line in plan.splitlines()) == 1
+
+
+def test_attach_first_stores_only_what_is_read(spark, monkeypatch):
+    from citesight.plans import catalog
+    from citesight.sources import schemas
+
+    def row(**said):
+        return tuple(said.get(f.name) for f in schemas.MART.fields)
+
+    day = dt.datetime(2020, 1, 1)
+    mart = spark.createDataFrame([
+        row(FACID="1", IS_HOSPITAL=1, PENALTY_NUMBER="b", EVENTID="9", PENALTY_ISSUE_DATE=day, FACILITY_NAME="B", DISTRICT_OFFICE="X",
+            CLASS_FINAL="A", PENALTY_CATEGORY="hot"),
+        row(FACID="1", IS_HOSPITAL=1, PENALTY_NUMBER="a", EVENTID="9", PENALTY_ISSUE_DATE=day, FACILITY_NAME="A", DISTRICT_OFFICE="Y"),
+        row(FACID="1", IS_HOSPITAL=1, PENALTY_NUMBER="0", PENALTY_ISSUE_DATE=day, FACILITY_NAME="void", CLASS_FINAL="PARTIAL"),
+        row(FACID="2", IS_HOSPITAL=0, PENALTY_NUMBER="c", FACILITY_NAME="C"), row(FACILITY_NAME="D", IS_HOSPITAL=1)], schemas.MART)
+    stored, real = [], catalog.materialize
+    monkeypatch.setattr(catalog, "_mart", lambda spark, sf: mart)
+    monkeypatch.setattr(catalog, "materialize", lambda df: stored.append(df.columns) or real(df))
+    assert [tuple(r) for r in catalog.QUERIES["attach_first"](spark, "").collect()] == [("1", 2, "A", "Y")]
+    assert stored == [pl.SELECTION_COLUMNS] and set(pl.SELECTION_COLUMNS) < set(schemas.MART.fieldNames())
