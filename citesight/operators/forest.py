@@ -38,6 +38,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 EULER_GAMMA = 0.5772156649015329
+ROWS = 4096  # rows that go down a tree together
 NODE_SCHEMA = ("tree int, node int, feature int, threshold double, left int, right int, "
                "size int, depth int")
 
@@ -126,26 +127,37 @@ class ForestArrays:
         return cls(arr["feature"], thr, arr["left"], arr["right"], arr["size"], arr["depth"], psi, max_depth)
 
     def leaves(self, X: np.ndarray) -> np.ndarray:
-        """Leaf node index per (row, tree)."""
-        n, t = X.shape[0], self.n_trees
-        node = np.zeros((n, t), dtype=np.int64)
-        tree_ix = np.arange(t)[None, :]
-        for _ in range(self.max_depth + 1):
-            f = self.feature[tree_ix, node]
-            internal = f >= 0
-            if not internal.any():
-                break
-            fx = np.take_along_axis(X, np.where(internal, f, 0), axis=1) if X.shape[1] else np.zeros_like(node)
-            go_left = fx <= self.threshold[tree_ix, node]
-            nxt = np.where(go_left, self.left[tree_ix, node], self.right[tree_ix, node])
-            node = np.where(internal, nxt, node)
-        return node
+        """Leaf node index per (row, tree).
+
+        Tree by tree over blocks of rows, so that a tree's nodes and a block's
+        rows stay in the processor's cache; a leaf is its own child."""
+        n, m = X.shape[0], self.feature.shape[1]
+        out = np.zeros((n, self.n_trees), dtype=np.int64)
+        if not X.shape[1]:
+            return out
+        leaf = self.feature < 0
+        own = np.arange(m)
+        feature = np.where(leaf, 0, self.feature).astype(np.int64)
+        child = np.stack([np.where(leaf, own, self.right), np.where(leaf, own, self.left)], axis=2).astype(np.int64)
+        child = child.reshape(self.n_trees, 2 * m)
+        for at in range(0, n, ROWS):
+            rows = np.ascontiguousarray(X[at:at + ROWS].T)
+            size = rows.shape[1]
+            flat, place = rows.ravel(), np.arange(size)
+            for t in range(self.n_trees):
+                start, threshold, step = feature[t] * size, self.threshold[t], child[t]
+                node = np.zeros(size, dtype=np.int64)
+                for _ in range(self.max_depth):
+                    go_left = flat.take(start.take(node) + place) <= threshold.take(node)
+                    node = step.take(2 * node + go_left)
+                out[at:at + ROWS, t] = node
+        return out
 
     def path_length(self, X: np.ndarray) -> np.ndarray:
         """Mean over trees of depth(leaf) + c(size(leaf))."""
         leaf = self.leaves(X)
-        tree_ix = np.arange(self.n_trees)[None, :]
-        h = self.depth[tree_ix, leaf] + average_path_length(self.size[tree_ix, leaf])
+        length = self.depth + average_path_length(self.size)
+        h = length.ravel()[leaf + np.arange(self.n_trees) * length.shape[1]]
         return h.mean(axis=1)
 
     def raw_score(self, X: np.ndarray) -> np.ndarray:
@@ -175,25 +187,24 @@ def smallest_draws(data: DataFrame, key: str, features: Sequence[str], trees: in
     row = F.when(F.col("_rows").isNull(), F.xxhash64(F.col(key))).otherwise(F.xxhash64(F.col(key), *[F.col(c) for c in features]))
     counted = counted.join(many, F.col(key).eqNullSafe(F.col("_key")), "left").withColumn("_row", row)
     below = F.lit(share if share < 1.0 else 2.0)
-
-    def one(t: Column) -> Column:
-        return F.array(F.struct(t.alias("_tree"), _uniform(F.col("_row"), t, F.lit(seed)).alias("_u")))
-
-    def several(t: Column) -> Column:
-        # the i-th smallest of c uniform numbers is 1 - exp(-E_i), E_i = E_(i-1) + X_i / (c - i + 1), X_i exponential
-        def gap(i: Column) -> Column:
-            return -F.log1p(-_uniform(F.col("_row"), t, F.lit(seed), i)) / (F.col("_copies") - i + 1)
-        sums = F.aggregate(F.sequence(F.lit(1).cast("long"), F.least(F.col("_copies"), F.lit(psi))), F.array().cast("array<double>"),
-                           lambda e, i: F.concat(e, F.array(F.coalesce(F.try_element_at(e, F.lit(-1)), F.lit(0.0)) + gap(i))))
-        return F.transform(sums, lambda e: F.struct(t.alias("_tree"), (-F.expm1(-e)).alias("_u")))
-
-    every = F.sequence(F.lit(0), F.lit(trees - 1))
-    draws = F.flatten(F.when(F.col("_copies") == 1, F.transform(every, one)).otherwise(F.transform(every, several)))
-    kept = F.filter(draws, lambda d: d["_u"] < below)
+    tree, copies = F.col("_tree"), F.col("_copies")
+    draw = _uniform(F.col("_row"), tree, F.lit(seed))
+
+    # the i-th smallest of c uniform numbers is 1 - exp(-E_i), E_i = E_(i-1) + X_i / (c - i + 1), X_i exponential
+    def gap(i: Column) -> Column:
+        return -F.log1p(-_uniform(F.col("_row"), tree, F.lit(seed), i)) / (copies - i + 1)
+    sums = F.aggregate(F.sequence(F.lit(1).cast("long"), F.least(copies, F.lit(psi))), F.array().cast("array<double>"),
+                       lambda e, i: F.concat(e, F.array(F.coalesce(F.try_element_at(e, F.lit(-1)), F.lit(0.0)) + gap(i))))
+    several = F.transform(sums, lambda e: -F.expm1(-e))
+
+    # most rows draw once a tree: those draws are left out before any array is made of them
+    drawn = counted.withColumn("_tree", F.explode(F.array(*[F.lit(t) for t in range(trees)])))
+    drawn = drawn.where((copies > 1) | (draw < below))
+    kept = F.filter(F.when(copies == 1, F.array(draw)).otherwise(several), lambda u: u < below)
     # explode_outer + NULL filter keeps the optimizer from evaluating the
-    # per-tree draws a second time in an inferred pre-filter
-    made = counted.withColumn("_d", F.explode_outer(kept)).where(F.col("_d").isNotNull())
-    made = made.select(key, *features, "_row", "_d._tree", "_d._u")
+    # draws a second time in an inferred pre-filter
+    made = drawn.withColumn("_u", F.explode_outer(kept)).where(F.col("_u").isNotNull())
+    made = made.select(key, *features, "_row", "_tree", "_u")
     first = Window.partitionBy("_tree").orderBy("_u", key, "_row")
     return made.withColumn("_rn", F.row_number().over(first)).where(F.col("_rn") <= psi).drop("_rn", "_row")
 
