@@ -5,7 +5,7 @@ from collections import Counter
 import numpy as np
 from pyspark.sql import functions as F
 
-from citesight.llm import suffixes
+from citesight.llm import catalog, suffixes
 
 
 def test_copies_within_one_text():
@@ -59,3 +59,12 @@ def test_repeated_phrase_gives_few_rows(spark, monkeypatch):
     assert got.where(F.col("doc_id") == 30).first().n_removed == 900  # repeats only within itself
     hot = [n for columns, n in made if "d1" in columns and "rid" in columns]
     assert hot and max(hot) <= 8 * len(rows)
+
+
+def test_query_returns_the_size_that_is_left(spark, tmp_path):
+    same = "abcdefghij klmnopqrst " * 30
+    spark.createDataFrame([(1, same + "x"), (2, "y" + same), (3, "short"), (4, None)], "doc_id long, text string").write.parquet(
+        str(tmp_path / "documents.parquet"))
+    got = {r.doc_id: r for r in catalog.op6_suffix_dedup(spark, str(tmp_path)).collect()}
+    assert {i: (r.n_bytes, r.n_removed, r.kept_bytes) for i, r in got.items()} == {
+        1: (661, 660, 1), 2: (661, 660, 1), 3: (5, 0, 5), 4: (0, 0, 0)}
